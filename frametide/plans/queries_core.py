@@ -1,14 +1,8 @@
-"""Registered queries: one Spark plan and (where SQL can express it) one
-DuckDB oracle per operator of the inventory.
-
-Every query reads the driver tables of ``sf_dir`` (through the fixture views
-of :mod:`frametide.plans.fixtures`) and runs over whole tables.
-"""
+"""Registered queries: feature engineering core (windows, scalar features,
+encoders, feature pipelines) and the flagship."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,49 +13,14 @@ from frametide.functions.encoders import (
     fit_first_seen_vocabulary,
 )
 from frametide.functions.geometry import ball_relative, direction_sin_cos
-from frametide.functions.keys import play_key, version_name_class, week_from_filename
 from frametide.functions.numeric import numeric
 from frametide.operators import features as feat
-from frametide.operators import joins, metrics, sampling, validate
+from frametide.operators import joins
 from frametide.operators.lags import time_lag_features
 from frametide.plans import sqltext as q
-from frametide.plans.fixtures import (
-    frames_events,
-    frames_lineitem,
-    labels_events,
-    test_events,
-    test_input_events,
-    with_views,
-)
-from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
-from frametide.session import tune_session
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune_session(spark)
-            return fn(spark, sf_dir)
-
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        REGISTRY[name] = (run, sql)
-        return run
-
-    return deco
-
-
-def r6(c: Column | str) -> Column:
-    """Six-decimal rounding, negative zero normalised (see sqltext.r6)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, 6) + F.lit(0.0)
-
-
-LAG_OUT = [f"{p}_{k}" for k in (1, 2, 3) for p in ("x_shift", "y_shift", "frame_shift", "dx_lag", "dy_lag", "dt_lag", "vx_lag", "vy_lag")]
-FRAME_COLS = ["game_id", "play_id", "nfl_id", "frame_id", "row_id", "week", "player_position", "x", "y"]
+from frametide.plans.fixtures import frames_events, frames_lineitem, labels_events, with_views
+from frametide.plans.registry import r6, register
+from frametide.schemas import FEATURE_COLUMNS, PLAYER_KEYS
 
 
 # =============================================================== flagship
@@ -258,11 +217,3 @@ def engineer_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     # values order them so every copy gets a well-defined lag.
     df, _ = feat.engineer_features(train, tiebreak=["row_id", "x_target", "y_target"])
     return df.select("row_id", "x_target", "y_target", "vx_lag_1", "vy_lag_1", "dt_lag_3", *_features_select())
-
-
-def queries() -> dict[str, QueryFn]:
-    return {name: fn for name, (fn, _) in REGISTRY.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}
