@@ -41,7 +41,7 @@ def r6(c: Column | str) -> Column:
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from frametide.plans import queries_core, queries_relational  # noqa: F401
+    from frametide.plans import queries_core, queries_io, queries_models, queries_relational  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
