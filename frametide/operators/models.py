@@ -35,12 +35,15 @@ SINGLE_PARAMS = {
 # The two ensemble families. Family "a" is boosted with row and
 # feature subsampling (0.8 / 0.8), learning rate 0.05, depth 8, at least 100
 # rows per leaf, 500 rounds; family "b" is a bagged forest with the same
-# sampling, depth and leaf size.
+# sampling, depth and leaf size. Spark stops boosting when a round improves
+# the validation error by less than validationTol (relative), so a small
+# tolerance stands in for round-count patience.
 ENSEMBLE_PARAMS = {
     "a": {
         "kind": "gbt",
         "stepSize": 0.05,
         "maxIter": 500,
+        "validationTol": 1e-4,
         "maxDepth": 8,
         "minInstancesPerNode": 100,
         "subsamplingRate": 0.8,

@@ -66,9 +66,21 @@ def train_pipeline_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.json(f"{result.path}/metadata")
 
 
+_SAVED: dict[tuple[str, str], str] = {}
+
+
+def _saved_model_path(spark: SparkSession, sf_dir: str) -> str:
+    """Path of an ensemble trained on ``sf_dir`` and saved in this Spark
+    application (trained once, then reused by the scoring queries)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAVED:
+        result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
+        _SAVED[key] = result.path
+    return _SAVED[key]
+
+
 def _saved_bundle(spark: SparkSession, sf_dir: str) -> M.ModelBundle:
-    result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
-    return M.load_bundle(spark, result.path)
+    return M.load_bundle(spark, _saved_model_path(spark, sf_dir))
 
 
 @register("score_test", None)
@@ -100,10 +112,9 @@ def score_request_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded by path."""
     from pyspark.sql import functions as F
 
-    result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
     path = staging_path(spark, "requests")
     frames_events(spark, sf_dir).withColumn("id", F.col("row_id").cast("string")).write.mode("overwrite").json(path)
-    return S.score_request(spark, path, result.path)
+    return S.score_request(spark, path, _saved_model_path(spark, sf_dir))
 
 
 @register(
