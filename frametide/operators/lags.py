@@ -37,27 +37,30 @@ def lag_column_names(lag: int) -> list[str]:
     ]
 
 
-def _lag_exprs(
-    window, keys: Sequence[str], lags: Sequence[int], x: str, y: str, frame: str
-) -> dict[str, Column]:
-    """W1-W4 for every lag. Rows whose group key has a null get null shifts
-    (a null key is not a group)."""
+def _shift_exprs(window, keys: Sequence[str], lags: Sequence[int], x: str, y: str, frame: str) -> dict[str, Column]:
+    """One window expression per (column, lag) - nine for lags 1-3.
+    Rows whose group key has a null get null shifts (a null key is not a
+    group)."""
     keys_present = F.lit(True)
     for k in keys:
         keys_present = keys_present & F.col(k).isNotNull()
     out: dict[str, Column] = {}
     for lag in lags:
-        xs = F.when(keys_present, F.lag(x, lag).over(window))
-        ys = F.when(keys_present, F.lag(y, lag).over(window))
-        fs = F.when(keys_present, F.lag(frame, lag).over(window))
-        dx = F.col(x) - xs
-        dy = F.col(y) - ys
+        out[f"x_shift_{lag}"] = F.when(keys_present, F.lag(x, lag).over(window))
+        out[f"y_shift_{lag}"] = F.when(keys_present, F.lag(y, lag).over(window))
+        out[f"frame_shift_{lag}"] = F.when(keys_present, F.lag(frame, lag).over(window))
+    return out
+
+
+def _delta_exprs(lags: Sequence[int], x: str, y: str, frame: str) -> dict[str, Column]:
+    """W2-W4 from the shift columns (a plain projection after the window)."""
+    out: dict[str, Column] = {}
+    for lag in lags:
+        dx = F.col(x) - F.col(f"x_shift_{lag}")
+        dy = F.col(y) - F.col(f"y_shift_{lag}")
         # A zero frame delta (duplicate frame) is treated as unknown, so the
         # velocity is 0 rather than a division by zero (ANSI mode raises).
-        dt = F.nullif((F.col(frame) - fs).cast("double"), F.lit(0.0))
-        out[f"x_shift_{lag}"] = xs
-        out[f"y_shift_{lag}"] = ys
-        out[f"frame_shift_{lag}"] = fs
+        dt = F.nullif((F.col(frame) - F.col(f"frame_shift_{lag}")).cast("double"), F.lit(0.0))
         out[f"dx_lag_{lag}"] = F.coalesce(dx, F.lit(0.0))
         out[f"dy_lag_{lag}"] = F.coalesce(dy, F.lit(0.0))
         out[f"dt_lag_{lag}"] = F.coalesce(dt, F.lit(0.0))
@@ -68,7 +71,9 @@ def _lag_exprs(
 
 def _with_lags(df: DataFrame, partition: Sequence[str], order: Sequence[str], keys, lags, x, y, frame):
     window = Window.partitionBy(*partition).orderBy(*order)
-    return df.select("*", *[c.alias(n) for n, c in _lag_exprs(window, keys, lags, x, y, frame).items()])
+    shifted = df.select("*", *[c.alias(n) for n, c in _shift_exprs(window, keys, lags, x, y, frame).items()])
+    derived = shifted.select("*", *[c.alias(n) for n, c in _delta_exprs(lags, x, y, frame).items()])
+    return derived.select(*df.columns, *[n for lag in lags for n in lag_column_names(lag)])
 
 
 def find_hot_groups(

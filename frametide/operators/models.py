@@ -14,6 +14,7 @@ import copy
 import datetime as _dt
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -120,13 +121,25 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
-def _durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (lineage cut;
     survives executor loss without recomputing the sample)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _with_max_iter(families: Mapping[str, Mapping], max_iter: int | None) -> dict:
+    fams = copy.deepcopy({k: dict(v) for k, v in families.items()})
+    if max_iter is not None:
+        for p in fams.values():
+            for target in [p] + [p[a] for a in ("x", "y") if a in p]:
+                if "maxIter" in target:
+                    target["maxIter"] = max_iter
+                if "numTrees" in target:
+                    target["numTrees"] = min(target["numTrees"], max_iter)
+    return fams
+
+
 def fit_models(
     train: DataFrame,
     families: Mapping[str, Mapping],
@@ -135,53 +148,37 @@ def fit_models(
     weights: Mapping[str, float] | None = None,
     vocabulary: Sequence[str] | None = None,
     max_iter: int | None = None,
+    labels: Mapping[str, str] | None = None,
 ) -> ModelBundle:
-    """M1 / M2: fit every family on the non-validation rows of ``train``
-    (``validation`` rows steer boosted early stopping)."""
-    fams = copy.deepcopy({k: dict(v) for k, v in families.items()})
-    if max_iter is not None:
-        for p in fams.values():
-            for target in [p] + [p[a] for a in ("x", "y") if a in p]:
-                if "maxIter" in target:
-                    target["maxIter"] = max_iter
-                if "numTrees" in target:
-                    target["numTrees"] = min(target["numTrees"], max_iter)
-    data = _durable(train)
-    if validation and validation in data.columns:
-        # Boosted stages read the flag themselves (validation rows steer
-        # early stopping); forest stages are fitted on training rows only.
-        gbt_fams = {k: v for k, v in fams.items() if v.get("kind", "gbt") == "gbt"}
-        forest_fams = {k: v for k, v in fams.items() if v.get("kind", "gbt") != "gbt"}
-        stages = []
-        if gbt_fams:
-            stages += build_pipeline(gbt_fams, feature_columns, validation=validation).getStages()
-        if forest_fams:
-            forest = build_pipeline(forest_fams, feature_columns).getStages()
-            stages += forest[1:] if stages else forest
-        model = _fit_stages(stages, data, validation)
-    else:
-        model = build_pipeline(fams, feature_columns).fit(data)
+    """M1 / M2: fit one regressor per (family, axis).
+
+    The feature vector is assembled once and only the columns the learners
+    read are checkpointed. The regressors are independent, so they are
+    fitted concurrently (one driver thread each, i.e. concurrent Spark jobs
+    sharing the executors). Boosted learners get the validation flag for
+    early stopping; forests are fitted on the training rows only."""
+    fams = _with_max_iter(families, max_iter)
+    labels = labels or {"x": "x_target", "y": "y_target"}
+    template = build_pipeline(fams, feature_columns, labels, validation)
+    assembler, estimators = template.getStages()[0], template.getStages()[1:]
+    use_val = bool(validation) and validation in train.columns
+    cols = ["features", *labels.values(), *([validation] if use_val else [])]
+    data = durable(assembler.transform(train).select(*cols))
+    training_rows = data.where(~F.col(validation)) if use_val else data
+
+    def fit_one(est):
+        if isinstance(est, RandomForestRegressor) or not use_val:
+            return est.fit(training_rows if isinstance(est, RandomForestRegressor) else data)
+        return est.fit(data)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(estimators))) as pool:
+        fitted = list(pool.map(fit_one, estimators))
+    model = PipelineModel(stages=[assembler, *fitted])
     w = dict(weights) if weights is not None else {k: 1.0 / len(fams) for k in fams}
-    info = {f"{s.getPredictionCol()}_trees": len(s.trees) for s in model.stages[1:] if hasattr(s, "trees")}
+    info = {f"{s.getPredictionCol()}_trees": len(s.trees) for s in fitted if hasattr(s, "trees")}
     return ModelBundle(model, list(feature_columns), list(fams), w, list(vocabulary) if vocabulary else None, info=info)
 
 
-def _fit_stages(stages, data: DataFrame, validation: str) -> PipelineModel:
-    """Fit stage by stage; forest stages only see training rows."""
-    fitted = []
-    current = data
-    for stage in stages:
-        if isinstance(stage, RandomForestRegressor):
-            model = stage.fit(current.where(~F.col(validation)))
-        elif isinstance(stage, VectorAssembler):
-            model = stage
-        else:
-            model = stage.fit(current)
-        fitted.append(model)
-        current = model.transform(current)
-    return PipelineModel(stages=fitted)
-
-
 def score(bundle: ModelBundle, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """M3 + M4: per-family predictions and the weighted blend ``x``, ``y``."""
     scored = bundle.model.transform(features)

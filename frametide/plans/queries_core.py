@@ -210,9 +210,7 @@ def prepare_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def engineer_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P18 on the training join (J1): lags over the joined rows, then P9."""
-    train = joins.join_inputs_outputs(
-        frames_events(spark, sf_dir), labels_events(spark, sf_dir), cluster_keys=PLAYER_KEYS
-    )
+    train = joins.join_inputs_outputs(frames_events(spark, sf_dir), labels_events(spark, sf_dir))
     # Fan-out copies of one input row tie on (frame, row id); the label
     # values order them so every copy gets a well-defined lag.
     df, _ = feat.engineer_features(train, tiebreak=["row_id", "x_target", "y_target"])

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from frametide.operators import models as M
 from frametide.operators.features import transform_for_inference
 from frametide.operators.joins import join_test_features
-from frametide.operators.lags import time_lag_features
 from frametide.operators.validate import (
     ErrorType,
     ValidationError,
@@ -30,17 +29,19 @@ def score_test(
     bundle: M.ModelBundle,
     keys: Sequence[str] = FRAME_KEYS,
     id_col: str = ROW_ID,
+    hot_group_rows: int | None = 2_000_000,
 ) -> DataFrame:
     """M9: (id, x, y) for every test row.
 
-    J2 left join on the shared frame keys, lag features (pruned by Catalyst
-    unless the model uses them), the stored feature list and vocabulary,
-    then every model and the weighted blend - all one plan."""
+    J2 left join on the shared frame keys, lag features when the model's
+    feature list uses them, the stored feature list and vocabulary, then
+    every model and the weighted blend - all one plan."""
+    from frametide.plans.train import lag_stage, uses_lag_features
+
     check_required_column(test, id_col)
     joined = join_test_features(test, test_input, keys)
-    lag_keys = [k for k in ("game_id", "play_id", "nfl_id") if k in joined.columns]
-    if "frame_id" in joined.columns and len(lag_keys) == 3:
-        joined = time_lag_features(joined, lag_keys, tiebreak=id_col)
+    if uses_lag_features(bundle.feature_columns):
+        joined = lag_stage(joined, test, [id_col], hot_group_rows)
     feats = transform_for_inference(joined, bundle.feature_columns, bundle.vocabulary, keep=[id_col])
     return M.score(bundle, feats, keep=[id_col]).select(id_col, "x", "y")
 

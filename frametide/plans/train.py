@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from frametide.functions.encoders import fit_first_seen_vocabulary, fit_sorted_vocabulary
 from frametide.operators import models as M
-from frametide.operators.features import clean_features, engineer_features, select_features
+from frametide.operators.features import clean_features, prepare_features, select_features
+from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
 from frametide.operators.joins import join_inputs_outputs
 from frametide.operators.sampling import sample_exact_n, train_val_split
 from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
@@ -26,23 +27,44 @@ class TrainResult:
     path: str | None
 
 
+# Player series larger than this are lagged on the split path (see lags.py).
+HOT_GROUP_ROWS = 2_000_000
+
+
+def uses_lag_features(feature_columns: Sequence[str]) -> bool:
+    names = {n for lag in range(1, 64) for n in lag_column_names(lag)}
+    return any(c in names for c in feature_columns)
+
+
+def lag_stage(
+    merged: DataFrame, inputs: DataFrame, tiebreak: Sequence[str], hot_group_rows: int | None = HOT_GROUP_ROWS
+) -> DataFrame:
+    """W5 over joined rows. Hot player series are found from a key-only
+    sample of the *inputs* (a cheap scan, not a second run of the join) and
+    lagged on the split path."""
+    hot = find_hot_groups(inputs, PLAYER_KEYS, hot_group_rows) if hot_group_rows else None
+    return time_lag_features(merged, tiebreak=list(tiebreak), hot_keys=hot)
+
+
 def build_training_rows(
     inputs: DataFrame,
     outputs: DataFrame,
     vocabulary: Sequence[str] | None,
     tiebreak: Sequence[str] = (),
     feature_columns: Sequence[str] = FEATURE_COLUMNS,
-    hot_group_rows: int | None = None,
+    hot_group_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """J1 -> W5 -> P9 -> P13: one row per training example carrying its
+    """J1 -> (W5) -> P9 -> P13: one row per training example carrying its
     keys, features and both labels (nothing is aligned by position).
 
-    Both join sides are hash-partitioned on the player keys, so the join and
-    the lag window share the exchange; when the feature list does not use
-    lag columns, Catalyst prunes the window altogether."""
-    merged = join_inputs_outputs(inputs, outputs, cluster_keys=PLAYER_KEYS)
-    ties = [*tiebreak, "x_target", "y_target"]
-    feats, _ = engineer_features(merged, vocabulary=vocabulary, tiebreak=ties, hot_group_rows=hot_group_rows)
+    The join is left to AQE: a label side measured small is broadcast,
+    otherwise a sort-merge join whose skewed partitions AQE splits. The lag
+    window is only planned when the feature list uses lag columns (the
+    default twelve features do not)."""
+    merged = join_inputs_outputs(inputs, outputs)
+    if uses_lag_features(feature_columns):
+        merged = lag_stage(merged, inputs, [*tiebreak, "x_target", "y_target"], hot_group_rows)
+    feats, _ = prepare_features(merged, vocabulary=vocabulary)
     keep = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
     return clean_features(select_features(feats, feature_columns, keep), feature_columns)
 
@@ -60,7 +82,7 @@ def train(
     feature_columns: Sequence[str] = FEATURE_COLUMNS,
     output_root: str | None = None,
     max_iter: int | None = None,
-    hot_group_rows: int | None = None,
+    hot_group_rows: int | None = HOT_GROUP_ROWS,
 ) -> TrainResult:
     """M8. ``order_col`` (a row id of the inputs) makes the position
     vocabulary first-appearance ordered; without it the vocabulary is sorted.
@@ -77,7 +99,10 @@ def train(
     counts = rows.agg(F.count(F.lit(1)).alias("n_clean")).first().asDict()
     sample_keys = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
     sampled = sample_exact_n(rows, max_rows, sample_keys, seed=seed, total=counts["n_clean"])
-    split = train_val_split(sampled, sample_keys, test_size=test_size, seed=seed)
+    # The sampled, split rows are materialised once in the shared checkpoint
+    # folder: fitting and evaluation read them without re-running the join
+    # and the sample, and a lost executor does not trigger that either.
+    split = M.durable(train_val_split(sampled, sample_keys, test_size=test_size, seed=seed))
     if weights is None and set(families) == set(M.DEFAULT_WEIGHTS):
         weights = M.DEFAULT_WEIGHTS
     bundle = M.fit_models(split, families, feature_columns, "is_val", weights, vocab, max_iter)
