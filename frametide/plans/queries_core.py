@@ -215,3 +215,37 @@ def engineer_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     # values order them so every copy gets a well-defined lag.
     df, _ = feat.engineer_features(train, tiebreak=["row_id", "x_target", "y_target"])
     return df.select("row_id", "x_target", "y_target", "vx_lag_1", "vy_lag_1", "dt_lag_3", *_features_select())
+
+
+@register(
+    "select_features",
+    with_views("frames_events")
+    + ", base AS (SELECT * EXCLUDE (s, a), CAST(0 AS DOUBLE) AS s, CAST(0 AS DOUBLE) AS a FROM frames_events), "
+    "codes AS (" + q.sorted_code_sql("base") + "), feats AS (" + q.features_sql("base", "codes") + ")\n"
+    f"SELECT row_id, {_FEATURES_SQL_COLS} FROM feats",
+)
+def select_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + P3: input frames lacking two feature columns (s, a) projected to
+    the twelve features in fixed order; absent columns become 0."""
+    frames = frames_events(spark, sf_dir).drop("s", "a")
+    out = feat.transform_for_inference(frames, FEATURE_COLUMNS, keep=["row_id"])
+    assert out.columns == ["row_id", *FEATURE_COLUMNS]
+    return out.select("row_id", *_features_select())
+
+
+@register(
+    "xy_legacy_features",
+    with_views("frames_events")
+    + ", codes AS (" + q.first_seen_code_sql("frames_events") + ")\n"
+    f"SELECT f.row_id, f.x, f.y, f.s, f.a, {q.r6('sin(radians(f.dir))')} AS dir_sin, "
+    f"{q.r6('cos(radians(f.dir))')} AS dir_cos, f.num_frames_output, f.absolute_yardline_number, "
+    "coalesce(c.code, -1) AS player_pos_code FROM frames_events AS f "
+    "LEFT JOIN codes AS c ON f.player_position = c.code_value",
+)
+def xy_legacy_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine-feature path (no ball features, first-seen codes)."""
+    out = feat.xy_legacy_features(frames_events(spark, sf_dir), order_col="row_id", keep=["row_id"])
+    return out.select(
+        "row_id", "x", "y", "s", "a", r6("dir_sin").alias("dir_sin"), r6("dir_cos").alias("dir_cos"),
+        "num_frames_output", "absolute_yardline_number", "player_pos_code",
+    )

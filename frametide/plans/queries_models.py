@@ -147,3 +147,20 @@ def custom_predict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a user predictor called once per play on (test rows, input
     frames) through cogrouped Arrow batches."""
     return custom_predict(test_events(spark, sf_dir), test_input_events(spark, sf_dir), persistence_per_play)
+
+
+@register("check_metadata", None)
+def check_metadata_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: the stored metadata of a trained bundle checked by Spark
+    predicates (unique features, enough features, positive weights summing
+    to one)."""
+    from pyspark.sql import functions as F
+
+    meta = spark.read.json(f"{_saved_model_path(spark, sf_dir)}/metadata")
+    weights = F.map_from_arrays(
+        F.array(*[F.lit(n) for n in meta.select("ensemble_weights.*").columns]),
+        F.array(*[F.col(f"ensemble_weights.{n}") for n in meta.select("ensemble_weights.*").columns]),
+    )
+    from frametide.operators.validate import metadata_report
+
+    return metadata_report(meta.select("feature_columns", weights.alias("weights")))

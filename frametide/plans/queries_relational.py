@@ -593,3 +593,16 @@ def custom_checks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("has_prediction", F.col("x").isNotNull()),
         ],
     )
+
+
+@register(
+    "check_columns",
+    with_views("test_events", "test_input_events") + f"SELECT x, y FROM ({PERSIST_SQL}) AS p",
+)
+def check_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 + V4 + U4: prediction columns checked at plan time (exactly x and
+    y, numeric, no id) and returned in the expected order."""
+    preds = _persist(spark, sf_dir).select("y", "x")
+    checked = validate.check_columns(preds)
+    validate.check_numeric(checked)
+    return checked
