@@ -61,15 +61,22 @@ def fit_first_seen_vocabulary(
 
 def dense_index(values: DataFrame, order_cols: Sequence[str], out: str = "code") -> DataFrame:
     """Exact 0-based global index of each row of ``values`` in ``order_cols``
-    order, without funnelling rows through one task.
-
-    Range partitioning splits the rows into ordered slices; each slice is
-    numbered locally, and a per-slice offset (one row per partition, a proven
-    bound) turns the local number into the global one.
+    order (which must be unique per row), without funnelling rows through
+    one task.
+
+    Range partitioning cuts the rows into ordered slices; after sorting each
+    slice in place, ``monotonically_increasing_id`` (partition id << 33 plus
+    the row's position in its partition) yields the in-slice position with no
+    further shuffle. A per-slice offset (one row per partition, a proven
+    bound, broadcast) turns it into the global index.
     """
-    ordered = values.repartitionByRange(*order_cols).withColumn("_slice", F.spark_partition_id())
+    ordered = (
+        values.repartitionByRange(*order_cols)
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_slice", F.spark_partition_id())
+    )
     local = ordered.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(*order_cols)) - 1
+        "_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_slice").cast("long"), 33)
     )
     sizes = local.groupBy("_slice").agg(F.count("*").alias("_n"))
     offsets = sizes.withColumn(

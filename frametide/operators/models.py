@@ -38,7 +38,8 @@ SINGLE_PARAMS = {
 # rows per leaf, 500 rounds; family "b" is a bagged forest with the same
 # sampling, depth and leaf size. Spark stops boosting when a round improves
 # the validation error by less than validationTol (relative), so a small
-# tolerance stands in for round-count patience.
+# tolerance stands in for round-count patience. maxMemoryInMB only sizes the
+# per-executor histogram buffers (fewer passes per tree level), not the model.
 ENSEMBLE_PARAMS = {
     "a": {
         "kind": "gbt",
@@ -49,6 +50,7 @@ ENSEMBLE_PARAMS = {
         "minInstancesPerNode": 100,
         "subsamplingRate": 0.8,
         "featureSubsetStrategy": "0.8",
+        "maxMemoryInMB": 1024,
     },
     "b": {
         "kind": "forest",
@@ -57,6 +59,7 @@ ENSEMBLE_PARAMS = {
         "minInstancesPerNode": 100,
         "subsamplingRate": 0.8,
         "featureSubsetStrategy": "0.8",
+        "maxMemoryInMB": 1024,
     },
 }
 DEFAULT_WEIGHTS = {"a": 0.5, "b": 0.5}

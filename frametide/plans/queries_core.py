@@ -20,6 +20,10 @@ from frametide.operators.lags import time_lag_features
 from frametide.plans import sqltext as q
 from frametide.plans.fixtures import frames_events, frames_lineitem, labels_events, with_views
 from frametide.plans.registry import r6, register
+
+# Player series above this many rows take the split lag path; hot series are
+# found from a key-only sample of the scanned frames.
+HOT_GROUP_ROWS = 2_000_000
 from frametide.schemas import FEATURE_COLUMNS, PLAYER_KEYS
 
 
@@ -40,7 +44,7 @@ def play_motion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: lags 1-3 per player (W5), heading and ball features (P4,
     P5), then per-play motion summary."""
     frames = frames_events(spark, sf_dir)
-    lagged = time_lag_features(frames, tiebreak="row_id")
+    lagged = time_lag_features(frames, tiebreak="row_id", hot_group_rows=HOT_GROUP_ROWS)
     feats = ball_relative(direction_sin_cos(lagged))
     speed = F.sqrt(F.col("vx_lag_1") * F.col("vx_lag_1") + F.col("vy_lag_1") * F.col("vy_lag_1"))
     return feats.groupBy("game_id", "play_id").agg(
@@ -62,7 +66,7 @@ def play_motion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lag_features_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shifts, deltas, dt (zero -> 0) and velocities for lags 1-3."""
-    return time_lag_features(frames_events(spark, sf_dir), tiebreak="row_id")
+    return time_lag_features(frames_events(spark, sf_dir), tiebreak="row_id", hot_group_rows=HOT_GROUP_ROWS)
 
 
 @register(
@@ -71,7 +75,7 @@ def lag_features_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lag_features_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W5 (lag 2) on the volume fixture."""
-    return time_lag_features(frames_lineitem(spark, sf_dir), lags=(2,), tiebreak="row_id")
+    return time_lag_features(frames_lineitem(spark, sf_dir), lags=(2,), tiebreak="row_id", hot_group_rows=HOT_GROUP_ROWS)
 
 
 # =============================================================== scalar

@@ -92,7 +92,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     error = None
     try:
         test, test_input = scan_gateway(spark, args.data_dir)
-        preds = score_test(test, test_input, M.load_bundle(spark, args.model))
+        # Materialised once in the shared checkpoint folder, then validated
+        # and written from there (no second scoring pass).
+        preds = M.durable(score_test(test, test_input, M.load_bundle(spark, args.model)))
         validate_submission(preds, test)
         write_submission_parquet(preds, args.output)
     except ValidationError as exc:

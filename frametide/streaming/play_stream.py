@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,12 +55,17 @@ def score_stream(
     )
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        preds = score_test(batch, test_input, bundle, id_col=id_col)
-        check_columns(preds, id_col=id_col)
-        report = submission_report(preds, batch, id_col=id_col).first()
-        if not report["valid"]:
-            raise ValidationError(ErrorType.INVALID_SUBMISSION, f"batch {batch_id}: {report.asDict()}")
-        preds.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        # Scored once, validated, then appended: the batch's predictions are
+        # kept (memory, spilling to disk) between the check and the write.
+        preds = score_test(batch, test_input, bundle, id_col=id_col).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            check_columns(preds, id_col=id_col)
+            report = submission_report(preds, batch, id_col=id_col).first()
+            if not report["valid"]:
+                raise ValidationError(ErrorType.INVALID_SUBMISSION, f"batch {batch_id}: {report.asDict()}")
+            preds.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        finally:
+            preds.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(per_batch)
