@@ -48,7 +48,8 @@ def _shift_exprs(window, keys: Sequence[str], lags: Sequence[int], x: str, y: st
     for lag in lags:
         out[f"x_shift_{lag}"] = F.when(keys_present, F.lag(x, lag).over(window))
         out[f"y_shift_{lag}"] = F.when(keys_present, F.lag(y, lag).over(window))
-        out[f"frame_shift_{lag}"] = F.when(keys_present, F.lag(frame, lag).over(window))
+        # Double like the other shifts (a missing shift is a missing number).
+        out[f"frame_shift_{lag}"] = F.when(keys_present, F.lag(frame, lag).over(window)).cast("double")
     return out
 
 

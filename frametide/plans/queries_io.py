@@ -56,17 +56,20 @@ def scan_outputs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "concat_files",
     with_views("frames_events", "labels_events")
-    + f"SELECT * FROM frames_events UNION ALL BY NAME ({LABEL_WEEK_SQL})",
+    + "SELECT * REPLACE (CAST(row_id AS DOUBLE) AS row_id, CAST(num_frames_output AS DOUBLE) AS num_frames_output, "
+    "CAST(absolute_yardline_number AS DOUBLE) AS absolute_yardline_number) FROM "
+    f"(SELECT * FROM frames_events UNION ALL BY NAME ({LABEL_WEEK_SQL})) AS u",
 )
 def concat_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input and label files concatenated by column name; columns a file
-    lacks are null."""
+    lacks are null (integral ones reported as double, as a pandas concat)."""
     frames, root = _staged_inputs(spark, sf_dir)
     labels = _labels_with_week(spark, sf_dir)
     files.write_weekly_csv(labels, f"{root}/outputs", "output")
     a = files.scan_inputs(spark, schema=frames.drop("week").schema, pattern=f"{root}/inputs/file=input_*.csv")
     b = files.scan_outputs(spark, schema=labels.drop("week").schema, pattern=f"{root}/outputs/file=output_*.csv")
-    return a.unionByName(b, allowMissingColumns=True)
+    out = a.unionByName(b, allowMissingColumns=True)
+    return out.withColumns({c: F.col(c).cast("double") for c in ("row_id", "num_frames_output", "absolute_yardline_number")})
 
 
 @register("scan_test_input", with_views("test_input_events") + "SELECT * FROM test_input_events")

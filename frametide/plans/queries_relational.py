@@ -43,6 +43,16 @@ SCORED_SQL = (
 )
 
 
+# Integral input columns that are null for test rows without an input frame;
+# reported as double (a missing number), as a pandas left merge does.
+OUTER_INTS = ["row_id", "week", "num_frames_output", "absolute_yardline_number"]
+OUTER_INTS_SQL = "REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in OUTER_INTS) + ")"
+
+
+def _outer_ints_as_double(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in OUTER_INTS if c in df.columns})
+
+
 def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_inputs_outputs(frames_events(spark, sf_dir), labels_events(spark, sf_dir))
 
@@ -167,24 +177,26 @@ def join_inputs_outputs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "join_test_features",
     with_views("test_events", "test_input_events")
-    + "SELECT * FROM test_events AS t LEFT JOIN test_input_events AS i USING (game_id, play_id, nfl_id, frame_id)",
+    + f"SELECT * {OUTER_INTS_SQL} FROM test_events AS t LEFT JOIN test_input_events AS i "
+    "USING (game_id, play_id, nfl_id, frame_id)",
 )
 def join_test_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows left-joined to their input frames."""
-    return joins.join_test_features(test_events(spark, sf_dir), test_input_events(spark, sf_dir))
+    """Test rows left-joined to their input frames (integral input
+    columns as double: null where no frame matched)."""
+    return _outer_ints_as_double(joins.join_test_features(test_events(spark, sf_dir), test_input_events(spark, sf_dir)))
 
 
 @register(
     "join_head_sample",
     with_views("test_events", "test_input_events")
-    + "SELECT * FROM (SELECT * FROM test_events ORDER BY id LIMIT 50) AS a "
+    + f"SELECT * {OUTER_INTS_SQL} FROM (SELECT * FROM test_events ORDER BY id LIMIT 50) AS a "
     "LEFT JOIN (SELECT * FROM test_input_events ORDER BY row_id LIMIT 200) AS b "
     "USING (game_id, play_id, nfl_id, frame_id)",
 )
 def join_head_sample_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + O2: first 50 test rows left-joined with the first 200 input rows."""
-    return joins.join_head_sample(
-        test_events(spark, sf_dir), test_input_events(spark, sf_dir), ["id"], ["row_id"], 50, 200
+    return _outer_ints_as_double(
+        joins.join_head_sample(test_events(spark, sf_dir), test_input_events(spark, sf_dir), ["id"], ["row_id"], 50, 200)
     )
 
 

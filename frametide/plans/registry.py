@@ -14,6 +14,27 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB's
+    count_if is a 128-bit integer, Spark's a 64-bit one."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i : j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def register(name: str, sql: str | None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name`` with its
     oracle ``sql`` (None: checked rows-only)."""
@@ -27,7 +48,7 @@ def register(name: str, sql: str | None):
         run.__doc__ = fn.__doc__
         if name in REGISTRY:
             raise ValueError(f"duplicate query name {name}")
-        REGISTRY[name] = (run, sql)
+        REGISTRY[name] = (run, bigint_counts(sql) if sql else None)
         return run
 
     return deco

@@ -35,7 +35,7 @@ def lag_sql(
         inner += [
             f"CASE WHEN {guard} THEN lag({x}, {k}) OVER {window} END AS x_shift_{k}",
             f"CASE WHEN {guard} THEN lag({y}, {k}) OVER {window} END AS y_shift_{k}",
-            f"CASE WHEN {guard} THEN lag({frame}, {k}) OVER {window} END AS frame_shift_{k}",
+            f"CAST(CASE WHEN {guard} THEN lag({frame}, {k}) OVER {window} END AS DOUBLE) AS frame_shift_{k}",
         ]
         dt = f"nullif(CAST({frame} - frame_shift_{k} AS DOUBLE), {ZERO})"
         outer += [
