@@ -77,14 +77,23 @@ def _with_lags(df: DataFrame, partition: Sequence[str], order: Sequence[str], ke
     return derived.select(*df.columns, *[n for lag in lags for n in lag_column_names(lag)])
 
 
+# Expected sampled rows of a group exactly at the hot threshold: enough to
+# separate hot groups from ordinary ones (relative noise ~ 1/sqrt(2000)).
+HOT_SAMPLE_ROWS = 2000
+
+
 def find_hot_groups(
-    df: DataFrame, keys: Sequence[str], hot_group_rows: int, sample_fraction: float = 0.01, seed: int = 7
+    df: DataFrame, keys: Sequence[str], hot_group_rows: int, sample_fraction: float | None = None, seed: int = 7
 ) -> DataFrame:
     """Group keys whose estimated size exceeds ``hot_group_rows``.
 
-    Estimated from a Bernoulli sample; a group flagged by mistake is still
-    processed exactly, so the estimate only steers cost, never results.
+    Estimated from a Bernoulli sample of the key columns only; by default
+    the fraction is HOT_SAMPLE_ROWS / hot_group_rows, so the aggregation
+    stays tiny however large the input is. A group flagged by mistake is
+    still processed exactly, so the estimate only steers cost, never results.
     """
+    if sample_fraction is None:
+        sample_fraction = min(1.0, HOT_SAMPLE_ROWS / hot_group_rows)
     threshold = max(1.0, hot_group_rows * sample_fraction)
     return (
         df.select(*keys)
@@ -129,7 +138,7 @@ def time_lag_features(
     frame: str = "frame_id",
     coerce: bool = True,
     hot_group_rows: int | None = None,
-    hot_sample_fraction: float = 0.01,
+    hot_sample_fraction: float | None = None,
     hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """x/y/frame shifts, deltas, frame deltas and velocities per lag.
