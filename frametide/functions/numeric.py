@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 # inf / infinity / nan in any case. Anything else (hex floats, type suffixes
 # such as "1.5d", words) is "not a number" and becomes 0.
 NUMERIC_TEXT = (
-    r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+    r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
 )
+# A finite literal too large for a double (e.g. 1e400) is unparsable, not inf.
+INF_TEXT = r"(?i)inf"
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
@@ -38,6 +40,8 @@ def numeric(df: DataFrame, name: str) -> Column:
         return F.coalesce(c.cast("double"), F.lit(0.0))
     if isinstance(dtype, T.StringType):
         parsed = F.when(c.rlike(NUMERIC_TEXT), c.try_cast("double"))
+        overflow = (F.abs(parsed) == F.lit(float("inf"))) & ~c.rlike(INF_TEXT)
+        parsed = F.when(~overflow, parsed)
         return F.coalesce(F.nanvl(parsed, F.lit(None).cast("double")), F.lit(0.0))
     return F.coalesce(c.try_cast("double"), F.lit(0.0))
 

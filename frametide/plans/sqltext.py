@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from frametide.functions.numeric import NUMERIC_TEXT
+from frametide.functions.numeric import INF_TEXT, NUMERIC_TEXT
 from frametide.schemas import PLAYER_KEYS
 
 ZERO = "CAST(0 AS DOUBLE)"
@@ -60,6 +60,7 @@ def numeric_text_sql(expr: str) -> str:
     """P1 for a text expression: guard with the numeric pattern, then cast;
     NaN and failures become 0."""
     v = f"CASE WHEN regexp_matches({expr}, '{NUMERIC_TEXT}') THEN TRY_CAST(trim({expr}) AS DOUBLE) END"
+    v = f"CASE WHEN isinf({v}) AND NOT regexp_matches({expr}, '{INF_TEXT}') THEN NULL ELSE {v} END"
     return f"coalesce(CASE WHEN isnan({v}) THEN NULL ELSE {v} END, {ZERO})"
 
 

@@ -14,10 +14,10 @@ from frametide.schemas import FEATURE_COLUMNS
 
 def test_numeric_text_like_pandas(spark):
     # L3: blanks trimmed, inf kept, everything unparsable (and NaN) -> 0
-    values = ["1.5", " 1.5 ", "inf", "abc", "NaN", "1.5d", "0x1p3", None, "-2e3", ".5"]
+    values = ["1.5", " 1.5 ", "inf", "abc", "NaN", "1.5d", "0x1p3", None, "-2e3", ".5", "1e400", "-Infinity", "\u0661\u0662"]
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(numeric(df, "s")).collect()]
-    assert got == [1.5, 1.5, math.inf, 0.0, 0.0, 0.0, 0.0, 0.0, -2000.0, 0.5]
+    assert got == [1.5, 1.5, math.inf, 0.0, 0.0, 0.0, 0.0, 0.0, -2000.0, 0.5, 0.0, -math.inf, 0.0]
 
 
 def test_numeric_missing_and_typed_columns(spark):
