@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from frametide.operators.validate import ErrorType, ValidationError
 from frametide.schemas import PLAY_KEYS, PREDICTION_COLUMNS, ROW_ID
+from frametide.session import ship_package
 
 PredictFn = Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
 
@@ -48,6 +49,7 @@ def custom_predict(
 ) -> DataFrame:
     """run ``fn`` once per play; output (id, *columns) as doubles."""
     check_named(fn)
+    ship_package(test.sparkSession)
     if max_play_rows is not None:
         biggest = max(largest_play(test, keys), largest_play(test_input, keys))
         if biggest > max_play_rows:
@@ -79,6 +81,7 @@ def row_local_predict(
 ) -> DataFrame:
     """F1 for predictors that need no play context: Arrow batches through
     ``mapInPandas`` with no grouping, so no group size limit applies."""
+    ship_package(rows.sparkSession)
     id_type = rows.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {id_type}, " + ", ".join(f"{c} double" for c in columns)
 

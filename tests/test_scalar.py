@@ -66,3 +66,26 @@ def test_version_name_classes(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(version_name_class(F.col("n"), "model-v")).collect()]
     assert got == ["new", "old", "old", None, "new"]
+
+
+def test_numeric_text_property_against_pandas(spark):
+    """Random numeric-looking strings coerce exactly as pandas does."""
+    import pandas as pd
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    atoms = st.sampled_from(["0", "1", "7", "12", "003", ".", "e", "E", "+", "-", " ", "inf", "nan", "x", "d", "_", ","])
+    texts = st.lists(st.text(alphabet="0123456789", min_size=0, max_size=3) | atoms, min_size=1, max_size=6).map("".join)
+    collected: list[str] = []
+
+    @settings(max_examples=300, suppress_health_check=list(HealthCheck), deadline=None)
+    @given(texts)
+    def gather(t):
+        collected.append(t)
+
+    gather()
+    df = spark.createDataFrame([(t,) for t in collected], "s string")
+    got = [r[0] for r in df.select(numeric(df, "s")).collect()]
+    exp = pd.to_numeric(pd.Series(collected, dtype=object), errors="coerce").fillna(0.0).tolist()
+    diffs = [(t, g, e) for t, g, e in zip(collected, got, exp) if not (g == e or (math.isnan(g) and math.isnan(e)))]
+    assert not diffs, diffs[:10]
