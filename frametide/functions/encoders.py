@@ -60,9 +60,9 @@ def fit_first_seen_vocabulary(
 
 
 def dense_index(values: DataFrame, order_cols: Sequence[str], out: str = "code") -> DataFrame:
-    """Exact 0-based global index of each row of ``values`` in ``order_cols``
-    order (which must be unique per row), without funnelling rows through
-    one task.
+    """Exact 0-based global index (long) of each row of ``values`` in
+    ``order_cols`` order (which must be unique per row), without funnelling
+    rows through one task.
 
     Range partitioning cuts the rows into ordered slices; after sorting each
     slice in place, ``monotonically_increasing_id`` (partition id << 33 plus
@@ -88,7 +88,7 @@ def dense_index(values: DataFrame, order_cols: Sequence[str], out: str = "code")
     ).select("_slice", "_offset")
     return (
         local.join(F.broadcast(offsets), "_slice")
-        .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
+        .withColumn(out, F.col("_local") + F.col("_offset"))
         .drop("_slice", "_local", "_offset")
     )
 
@@ -101,7 +101,7 @@ def _apply_codes(df: DataFrame, col: str, out: str, vocab: list | None, codes: D
         F.col(col).cast("string") == F.col("_code_value"),
         "left",
     )
-    return joined.withColumn(out, F.coalesce(F.col("_code"), F.lit(-1))).drop("_code_value", "_code")
+    return joined.withColumn(out, F.coalesce(F.col("_code").cast("int"), F.lit(-1))).drop("_code_value", "_code")
 
 
 def category_code_sorted(

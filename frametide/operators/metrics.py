@@ -82,7 +82,8 @@ def distinct_in_order(df: DataFrame, col: str, order_col: str, out: str = "ordin
     0-based rank in first-appearance order. Ranked over the distinct set only
     (already reduced by partial aggregation), with the distributed index so a
     large distinct set never funnels through one task."""
-    return dense_index(first_seen_table(df, col, order_col), ["first_order", col], out)
+    indexed = dense_index(first_seen_table(df, col, order_col), ["first_order", col], out)
+    return indexed.withColumn(out, F.col(out).cast("int"))
 
 
 def distinct_plays(df: DataFrame, order_col: str, game: str = "game_id", play: str = "play_id") -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frametide.functions.encoders import dense_index
 from frametide.schemas import PLAY_KEYS
 
 
@@ -27,10 +28,23 @@ def sort_frames(df: DataFrame, keys: Sequence[str], frame: str = "frame_id", tie
     return df.orderBy(*keys, frame, *tiebreak)
 
 
+# Up to this many rows a top-n is a TakeOrderedAndProject (each task keeps its
+# own top n, one task merges them); beyond it the rows are ranked
+# distributedly so no single task holds n rows.
+TOP_N_SINGLE_MERGE = 1_000_000
+
+
+def first_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The ``n`` smallest rows in ``order`` (exact for any n)."""
+    if n <= TOP_N_SINGLE_MERGE:
+        return df.orderBy(*order).limit(n)
+    ranked = dense_index(df, list(order), "_rank_in_order")
+    return ranked.where(F.col("_rank_in_order") < F.lit(n)).drop("_rank_in_order")
+
+
 def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """O2: first ``n`` rows in ``order`` (TakeOrderedAndProject: each task keeps
-    its own top n, so only n * tasks rows are merged)."""
-    return df.orderBy(*order).limit(n)
+    """O2: first ``n`` rows in ``order``."""
+    return first_n(df, n, order)
 
 
 def sample_exact_n(
@@ -63,7 +77,7 @@ def sample_exact_n(
         candidates = ordered.where(prefix < F.lit(cutoff))
         if candidates.count() >= n:
             ordered = candidates
-    return ordered.orderBy("_sample_hash", *keys).limit(n).drop("_sample_hash")
+    return first_n(ordered, n, ["_sample_hash", *keys]).drop("_sample_hash")
 
 
 def split_threshold(fraction: float) -> str:

@@ -135,3 +135,15 @@ def test_metadata_report(spark):
     rows = validate.metadata_report(meta).collect()
     assert rows[0]["features_unique"] and rows[0]["weights_sum_to_one"] and rows[0]["enough_features"]
     assert not rows[1]["features_unique"] and not rows[1]["weights_sum_to_one"]
+
+
+def test_first_n_distributed_path_is_exact(spark, monkeypatch):
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("v"), F.col("id")).repartition(6)
+    small = sorted(r["id"] for r in sampling.first_n(df, 700, ["v", "id"]).collect())
+    monkeypatch.setattr(sampling, "TOP_N_SINGLE_MERGE", 10)
+    big = sorted(r["id"] for r in sampling.first_n(df, 700, ["v", "id"]).collect())
+    assert small == big and len(big) == 700
+    fast = sorted(r["id"] for r in sampling.sample_exact_n(df, 700, ["id"], seed=3).collect())
+    monkeypatch.setattr(sampling, "TOP_N_SINGLE_MERGE", 1_000_000)
+    slow = sorted(r["id"] for r in sampling.sample_exact_n(df, 700, ["id"], seed=3).collect())
+    assert fast == slow
