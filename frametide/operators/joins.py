@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frametide.functions.keys import play_key
-from frametide.schemas import FRAME_KEYS, PLAY_KEYS, PLAYER_KEYS, ROW_ID
+from frametide.schemas import FRAME_KEYS, PLAY_KEYS, ROW_ID
 
 
 def suffix_collisions(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
@@ -23,14 +23,6 @@ def suffix_collisions(left: DataFrame, right: DataFrame, keys: Sequence[str], su
     return right.withColumnsRenamed(renames) if renames else right
 
 
-def _key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def key_join(
     left: DataFrame,
     right: DataFrame,
@@ -66,7 +58,10 @@ def join_inputs_outputs(
 
     ``cluster_keys`` (e.g. the player keys) hash-partitions both sides on a
     subset of the join keys first, so a following per-player window reuses
-    the join's partitioning instead of shuffling again.
+    the join's partitioning instead of shuffling again (two shuffles instead
+    of three; needs spark.sql.requireAllClusterKeysForCoPartition=false).
+    The trade-off: a user-requested repartition cannot be split by AQE's
+    skew handling, so the jobs leave it off and let AQE plan the join.
     """
     if cluster_keys:
         inputs = inputs.repartition(*cluster_keys)
@@ -142,5 +137,4 @@ __all__ = [
     "semi_join_plays",
     "suffix_collisions",
     "unmatched_keys",
-    "PLAYER_KEYS",
 ]

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from frametide.operators import joins
 from frametide.plans.fixtures import frames_events, labels_events, test_events, test_input_events, with_views
 from frametide.plans.registry import register
-from frametide.schemas import FRAME_KEYS
 from frametide.session import staging_path
 from frametide.sources import files, sinks
 
@@ -130,7 +129,27 @@ def sink_submission_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("x double, y double").option("header", True).csv(path)
 
 
-@register("sink_result_json", None)
+_REPORT_SQL = (
+    "SELECT count_if(eid IS NOT NULL) AS n_expected, count_if(s IS NOT NULL) AS n_rows, "
+    "count_if(s IS NULL) AS n_missing, count_if(eid IS NULL) AS n_unexpected, "
+    "count_if(s IS NOT NULL AND (x IS NULL OR isnan(x) OR abs(x) = CAST('inf' AS DOUBLE) OR y IS NULL OR isnan(y) "
+    "OR abs(y) = CAST('inf' AS DOUBLE))) AS n_not_finite FROM (SELECT t.id AS eid, sub.* FROM "
+    f"(SELECT id FROM test_events) AS t FULL JOIN (SELECT id, x, y, true AS s FROM ({PERSIST_SQL}) AS p) AS sub "
+    "ON t.id = sub.id) AS j"
+)
+_VALID_SQL = "n_expected = n_rows AND n_missing = 0 AND n_unexpected = 0 AND n_not_finite = 0"
+
+
+@register(
+    "sink_result_json",
+    with_views("test_events", "test_input_events")
+    + f", r AS ({_REPORT_SQL}) SELECT {_VALID_SQL} AS Succeeded, "
+    f"CASE WHEN {_VALID_SQL} THEN NULL ELSE 6 END AS ErrorType, "
+    f"CASE WHEN {_VALID_SQL} THEN NULL ELSE 'INVALID_SUBMISSION' END AS ErrorName, "
+    f"CASE WHEN {_VALID_SQL} THEN NULL ELSE 'n_expected=' || CAST(n_expected AS VARCHAR) || ', n_rows=' || "
+    "CAST(n_rows AS VARCHAR) || ', n_missing=' || CAST(n_missing AS VARCHAR) || ', n_unexpected=' || "
+    "CAST(n_unexpected AS VARCHAR) || ', n_not_finite=' || CAST(n_not_finite AS VARCHAR) END AS ErrorDetails FROM r",
+)
 def sink_result_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 (+ V8, V11): validate the persistence submission, write the status
     record and read it back (one row)."""
@@ -156,5 +175,3 @@ def frame_parquet_lz4_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_parquet_lz4(frames_events(spark, sf_dir), path)
     return spark.read.parquet(path)
 
-
-__all__ = ["FRAME_KEYS"]

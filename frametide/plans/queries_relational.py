@@ -22,7 +22,6 @@ from frametide.plans.fixtures import (
 from frametide.plans.registry import r6, register
 from frametide.schemas import FRAME_KEYS, PLAY_KEYS
 
-KEYS_SQL = "game_id, play_id, nfl_id, frame_id"
 PLAY_KEY_SQL = "game_id || '_' || CAST(play_id AS VARCHAR)"
 TRAIN_SQL = (
     "SELECT f.*, l.x AS x_target, l.y AS y_target FROM frames_events AS f JOIN labels_events AS l "

@@ -61,10 +61,18 @@ def validate_submission(predictions: DataFrame, test: DataFrame, id_col: str = R
     check_numeric(predictions)
     report = submission_report(predictions, test, id_col=id_col).first().asDict()
     if not report["valid"]:
-        raise ValidationError(ErrorType.INVALID_SUBMISSION, f"submission report: {report}")
+        raise ValidationError(ErrorType.INVALID_SUBMISSION, report_details(report))
     return report
 
 
+REPORT_FIELDS = ("n_expected", "n_rows", "n_missing", "n_unexpected", "n_not_finite")
+
+
+def report_details(report: dict) -> str:
+    """Error details of a failed submission report: ``key=value`` pairs."""
+    return ", ".join(f"{k}={report[k]}" for k in REPORT_FIELDS)
+
+
 def score_request(spark: SparkSession, input_path: str, model_path: str, id_col: str = ROW_ID) -> DataFrame:
     """Score a JSON-lines (or CSV) request file with the model at
     ``model_path``; swapping models is just another path."""

@@ -1,8 +1,5 @@
 """Sources and sinks, models, custom predictors, streaming, entry contract."""
 
-import json
-import os
-
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
