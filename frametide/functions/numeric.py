@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: the textual numbers accepted by the pandas coercion we match.
-# Decimal and scientific forms with optional sign and surrounding blanks, plus
-# inf / infinity / nan in any case. Anything else (hex floats, type suffixes
-# such as "1.5d", words) is "not a number" and becomes 0.
+# Decimal and scientific forms with optional sign and surrounding blanks, and
+# signed inf / infinity in any case but without blanks. Anything else (NaN,
+# hex floats, type suffixes such as "1.5d", words) is "not a number" -> 0.
 NUMERIC_TEXT = (
-    r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+    r"(?i)^(\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*|[+-]?(inf|infinity))$"
 )
 # A finite literal too large for a double (e.g. 1e400) is unparsable, not inf.
 INF_TEXT = r"(?i)inf"
