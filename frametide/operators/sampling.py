@@ -47,37 +47,44 @@ def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return first_n(df, n, order)
 
 
-def sample_exact_n(
-    df: DataFrame,
-    n: int,
-    keys: Sequence[str],
-    seed: int = 42,
-    total: int | None = None,
-    margin: float = 1.2,
-) -> DataFrame:
-    """O3: exactly ``min(n, count)`` rows, uniformly chosen without replacement
-    and reproducible: the rows with the smallest ``md5(seed|keys)``.
-
-    When the input is much larger than ``n`` a hash-prefix pre-filter keeps
-    only about ``margin * n`` candidates before ordering. The pre-filter keeps
-    a prefix of the md5 order, so the result is identical to ordering
-    everything; if it ever keeps fewer than ``n`` rows the full order is used.
+# Hash-prefix histogram resolution: 4 hex digits -> at most 65 536 buckets,
+# collected to the driver (a proven bound, independent of the data size).
+PREFIX_DIGITS = 4
+
+
+def sample_exact_n_with_total(
+    df: DataFrame, n: int, keys: Sequence[str], seed: int = 42
+) -> tuple[DataFrame, int]:
+    """O3: exactly ``min(n, count)`` rows, uniformly chosen without
+    replacement and reproducible - the rows with the smallest
+    ``md5(seed|keys)`` - plus the input row count.
+
+    One aggregation pass counts rows per 4-hex-digit hash prefix (partial
+    aggregation; at most 65 536 result rows). Its sum is the row count, and
+    the smallest prefix boundary whose cumulative count reaches ``n``
+    selects the candidates: a prefix of the md5 order holding about
+    ``n + count / 65536`` rows, whose top ``n`` is the answer. The result
+    is identical to ordering every row.
     """
-    h = key_hash(keys, seed)
-    ordered = df.withColumn("_sample_hash", h)
-    if total is None:
-        total = df.count()
+    hashed = df.withColumn("_sample_hash", key_hash(keys, seed))
+    prefix = F.substring("_sample_hash", 1, PREFIX_DIGITS)
+    hist = sorted((r["p"], r["c"]) for r in hashed.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")).collect())
+    total = sum(c for _, c in hist)
     if total <= n:
-        return df
-    fraction = min(1.0, margin * n / total)
-    if fraction < 0.5:
-        # First 8 hex digits of md5 as an unsigned 32-bit number.
-        cutoff = int(fraction * 2**32)
-        prefix = F.conv(F.substring("_sample_hash", 1, 8), 16, 10).cast("long")
-        candidates = ordered.where(prefix < F.lit(cutoff))
-        if candidates.count() >= n:
-            ordered = candidates
-    return first_n(ordered, n, ["_sample_hash", *keys]).drop("_sample_hash")
+        return df, total
+    running, boundary = 0, hist[-1][0]
+    for p, c in hist:
+        running += c
+        if running >= n:
+            boundary = p
+            break
+    candidates = hashed.where(prefix <= F.lit(boundary))
+    return first_n(candidates, n, ["_sample_hash", *keys]).drop("_sample_hash"), total
+
+
+def sample_exact_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """O3 (see :func:`sample_exact_n_with_total`)."""
+    return sample_exact_n_with_total(df, n, keys, seed)[0]
 
 
 def split_threshold(fraction: float) -> str:

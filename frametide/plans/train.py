@@ -15,7 +15,7 @@ from frametide.operators import models as M
 from frametide.operators.features import clean_features, prepare_features, select_features
 from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
 from frametide.operators.joins import join_inputs_outputs
-from frametide.operators.sampling import sample_exact_n, train_val_split
+from frametide.operators.sampling import sample_exact_n_with_total, train_val_split
 from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
 
 
@@ -96,9 +96,11 @@ def train(
         raise ValueError("player_position has too many distinct values for a stored vocabulary")
 
     rows = build_training_rows(inputs, outputs, vocab, tiebreak, feature_columns, hot_group_rows)
-    counts = rows.agg(F.count(F.lit(1)).alias("n_clean")).first().asDict()
     sample_keys = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
-    sampled = sample_exact_n(rows, max_rows, sample_keys, seed=seed, total=counts["n_clean"])
+    # One pass counts the clean rows and locates the sample; a second pass
+    # (the checkpoint below) materialises it.
+    sampled, n_clean = sample_exact_n_with_total(rows, max_rows, sample_keys, seed=seed)
+    counts = {"n_clean": n_clean}
     # The sampled, split rows are materialised once in the shared checkpoint
     # folder: fitting and evaluation read them without re-running the join
     # and the sample, and a lost executor does not trigger that either.

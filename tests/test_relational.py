@@ -55,6 +55,8 @@ def test_sample_exact_n_prefilter_equals_full_order(spark):
     again = sampling.sample_exact_n(df.repartition(9), 300, ["k"], seed=1)
     assert sorted(r["k"] for r in again.collect()) == sorted(r["k"] for r in fast.collect())
     assert sampling.sample_exact_n(df, 30000, ["k"]).count() == 20000
+    sample, total = sampling.sample_exact_n_with_total(df, 19999, ["k"], seed=1)
+    assert total == 20000 and sample.count() == 19999
 
 
 def test_split_fraction_and_threshold(spark):
