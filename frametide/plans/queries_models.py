@@ -50,11 +50,23 @@ def fit_xy_gbt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_frame(spark, result.metrics, result.counts)
 
 
+_ENSEMBLES: dict[tuple[str, str], object] = {}
+
+
+def _ensemble(spark: SparkSession, sf_dir: str):
+    """The ensemble trained on ``sf_dir`` and saved, once per Spark
+    application; the ensemble, pipeline and scoring queries share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ENSEMBLES:
+        _ENSEMBLES[key] = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
+    return _ENSEMBLES[key]
+
+
 @register("fit_xy_ensemble", None)
 def fit_xy_ensemble_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M4 + M5: boosted and forest families per axis, blended 0.5/0.5;
     per-model and ensemble RMSE."""
-    result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS)
+    result = _ensemble(spark, sf_dir)
     return _metrics_frame(spark, result.metrics, result.counts)
 
 
@@ -62,21 +74,12 @@ def fit_xy_ensemble_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_pipeline_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 + M6 + S11: the whole training job, saved as a versioned bundle;
     returns the stored metadata record."""
-    result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
-    return spark.read.json(f"{result.path}/metadata")
-
-
-_SAVED: dict[tuple[str, str], str] = {}
+    return spark.read.json(f"{_ensemble(spark, sf_dir).path}/metadata")
 
 
 def _saved_model_path(spark: SparkSession, sf_dir: str) -> str:
-    """Path of an ensemble trained on ``sf_dir`` and saved in this Spark
-    application (trained once, then reused by the scoring queries)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SAVED:
-        result = _fit(spark, sf_dir, M.ENSEMBLE_PARAMS, M.DEFAULT_WEIGHTS, output_root=staging_path(spark, "models"))
-        _SAVED[key] = result.path
-    return _SAVED[key]
+    """Path of the saved ensemble (see :func:`_ensemble`)."""
+    return _ensemble(spark, sf_dir).path
 
 
 def _saved_bundle(spark: SparkSession, sf_dir: str) -> M.ModelBundle:
