@@ -80,9 +80,12 @@ def engineer_features(
     lags: Sequence[int] = DEFAULT_LAGS,
     tiebreak: str | Sequence[str] | None = None,
     hot_group_rows: int | None = None,
+    hot_keys: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Lag features (W5) then the model features."""
-    lagged = time_lag_features(df, lags=lags, tiebreak=tiebreak, hot_group_rows=hot_group_rows)
+    """Lag features (W5) then the model features (P9). ``hot_keys``
+    (e.g. sampled from the scanned inputs) routes oversized player series
+    to the split lag path without sampling ``df`` itself."""
+    lagged = time_lag_features(df, lags=lags, tiebreak=tiebreak, hot_group_rows=hot_group_rows, hot_keys=hot_keys)
     return prepare_features(lagged, vocabulary=vocabulary)
 
 

@@ -42,3 +42,24 @@ def test_scoring_plan_has_no_python_and_no_single_partition(spark):
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "SinglePartition" not in plan
     assert M.ModelBundle  # bundle type exported
+
+
+def test_cluster_keys_share_one_exchange_per_side(spark):
+    """J1 on four keys + W5 on three: with both sides pre-partitioned on the
+    player keys the join and the window reuse one exchange per side."""
+    from frametide.operators.joins import join_inputs_outputs
+    from frametide.operators.lags import time_lag_features
+    from frametide.schemas import PLAYER_KEYS
+
+    frames, labels = fx.frames_events(spark, SF_SMALL), fx.labels_events(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        shared = time_lag_features(join_inputs_outputs(frames, labels, cluster_keys=PLAYER_KEYS), tiebreak=["row_id", "x_target"])
+        plain = time_lag_features(join_inputs_outputs(frames, labels), tiebreak=["row_id", "x_target"])
+        count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert count(shared) == 2 and count(plain) == 3
+        assert sorted(shared.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
