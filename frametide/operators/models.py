@@ -62,6 +62,8 @@ ENSEMBLE_PARAMS = {
         "maxMemoryInMB": 1024,
     },
 }
+# Equal blend weights, the training seed and the cap on rows
+# handed to the learners (a uniform sample above it).
 DEFAULT_WEIGHTS = {"a": 0.5, "b": 0.5}
 SEED = 42
 MAX_TRAIN_ROWS = 200_000

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from frametide.functions.encoders import dense_index
 from frametide.schemas import PLAY_KEYS
 
+# Fixed value: share of rows held out for validation.
+VALIDATION_FRACTION = 0.15
+
 
 def key_hash(keys: Sequence[str], seed: int | None = None) -> Column:
     """Hex md5 of ``seed|key1|key2|...`` (keys should be integral or text)."""
@@ -94,14 +97,14 @@ def split_threshold(fraction: float) -> str:
 
 
 def train_val_split(
-    df: DataFrame, keys: Sequence[str], test_size: float = 0.15, seed: int | None = None, out: str = "is_val"
+    df: DataFrame, keys: Sequence[str], test_size: float = VALIDATION_FRACTION, seed: int | None = None, out: str = "is_val"
 ) -> DataFrame:
     """Flag validation rows by key hash (about ``test_size`` of rows)."""
     return df.withColumn(out, F.substring(key_hash(keys, seed), 1, 4) < F.lit(split_threshold(test_size)))
 
 
 def group_split(
-    df: DataFrame, keys: Sequence[str] = PLAY_KEYS, test_size: float = 0.15, seed: int | None = None, out: str = "is_val"
+    df: DataFrame, keys: Sequence[str] = PLAY_KEYS, test_size: float = VALIDATION_FRACTION, seed: int | None = None, out: str = "is_val"
 ) -> DataFrame:
     """As O4 but hashed on the play keys, so a play never straddles."""
     return train_val_split(df, keys, test_size, seed, out)

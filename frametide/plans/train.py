@@ -15,7 +15,7 @@ from frametide.operators import models as M
 from frametide.operators.features import clean_features, prepare_features, select_features
 from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
 from frametide.operators.joins import join_inputs_outputs
-from frametide.operators.sampling import sample_exact_n_with_total, train_val_split
+from frametide.operators.sampling import VALIDATION_FRACTION, sample_exact_n_with_total, train_val_split
 from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
 
 
@@ -76,7 +76,7 @@ def train(
     families: Mapping[str, Mapping] = M.ENSEMBLE_PARAMS,
     weights: Mapping[str, float] | None = None,
     max_rows: int = M.MAX_TRAIN_ROWS,
-    test_size: float = 0.15,
+    test_size: float = VALIDATION_FRACTION,
     seed: int = M.SEED,
     order_col: str | None = None,
     feature_columns: Sequence[str] = FEATURE_COLUMNS,

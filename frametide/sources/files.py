@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frametide.functions.keys import week_from_filename
 from frametide.operators.validate import check_required_column
 from frametide.schemas import TEST, TRACKING_INPUT, TRACKING_OUTPUT
-from pyspark.sql import functions as F
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -104,7 +104,8 @@ def scan_json_rows(spark: SparkSession, path: str, schema: T.StructType = TRACKI
 
 def write_weekly_csv(df: DataFrame, root: str, prefix: str, week: str = "week", year: int = 2023) -> str:
     """Lay a frame table out as weekly CSV files ``<prefix>_<year>_wNN.csv``
-    (one directory of part files per week, written by one distributed job)."""
+    - the fixed weekly naming the scans expect - as one directory of part
+    files per week, written by one distributed job."""
     named = df.withColumn(
         "file", F.concat(F.lit(f"{prefix}_{year}_w"), F.lpad(F.col(week).cast("string"), 2, "0"), F.lit(".csv"))
     )

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frametide.operators.joins import attach_row_ids
-from frametide.operators.validate import ValidationError
+from frametide.operators.validate import ErrorType, ValidationError
 from frametide.schemas import PREDICTION_COLUMNS, RESULT, ROW_ID
 
+# Fixed value: status details are cut to this many characters.
 MAX_ERROR_DETAILS = 8000
 
 
@@ -44,7 +45,7 @@ def result_frame(spark: SparkSession, error: ValidationError | Exception | None)
     elif isinstance(error, ValidationError):
         row = (False, error.error_type.value, error.error_type.name, error.details)
     else:
-        row = (False, 5, "GATEWAY_RAISED_EXCEPTION", repr(error))
+        row = (False, ErrorType.GATEWAY_RAISED_EXCEPTION.value, ErrorType.GATEWAY_RAISED_EXCEPTION.name, repr(error))
     df = spark.createDataFrame([row], RESULT)
     return df.withColumn("ErrorDetails", F.substring("ErrorDetails", 1, MAX_ERROR_DETAILS))
 
