@@ -175,3 +175,14 @@ def frame_parquet_lz4_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_parquet_lz4(frames_events(spark, sf_dir), path)
     return spark.read.parquet(path)
 
+
+
+@register("scan_validation_weeks", with_views("frames_events") + "SELECT * FROM frames_events WHERE week > 3")
+def scan_validation_weeks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + O7 at scale: frames stored as week-partitioned parquet; the
+    validation weeks of the temporal split are read by partition pruning."""
+    from frametide.sources.layout import scan_weeks, weeks_after, write_week_partitioned
+
+    path = staging_path(spark, "by_week")
+    write_week_partitioned(frames_events(spark, sf_dir), path)
+    return scan_weeks(spark, path, weeks_after(3))

@@ -63,3 +63,16 @@ def test_cluster_keys_share_one_exchange_per_side(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_week_partitioned_scan_prunes(spark):
+    from frametide.sources.layout import scan_weeks, weeks_after, write_week_partitioned
+
+    frames = fx.frames_events(spark, SF_SMALL)
+    path = staging_path(spark, "t-by-week")
+    write_week_partitioned(frames, path)
+    late = scan_weeks(spark, path, weeks_after(3)).select("row_id", "x", "week")
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(week" in plan and "(week#" in plan
+    assert "ReadSchema: struct<row_id:bigint,x:double>" in plan
+    assert sorted(r["row_id"] for r in late.collect()) == sorted(r["row_id"] for r in frames.where("week > 3").collect())
