@@ -17,7 +17,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frametide.functions.keys import play_key
@@ -45,7 +44,8 @@ def score_stream(
     id_col: str = ROW_ID,
 ) -> None:
     """availableNow stream of test files -> scored, validated batches
-    appended to ``sink_dir``. Raises INVALID_SUBMISSION if a batch fails."""
+    written to ``sink_dir/batch_id=<n>``. Raises INVALID_SUBMISSION if a
+    batch fails."""
     from frametide.plans.score import score_test
 
     stream = (
@@ -63,7 +63,10 @@ def score_stream(
             report = submission_report(preds, batch, id_col=id_col).first()
             if not report["valid"]:
                 raise ValidationError(ErrorType.INVALID_SUBMISSION, f"batch {batch_id}: {report.asDict()}")
-            preds.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+            # Idempotent: a retried batch overwrites its own directory
+            # instead of appending a second copy (foreachBatch is
+            # at-least-once); readers see batch_id by partition discovery.
+            preds.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
         finally:
             preds.unpersist()
 

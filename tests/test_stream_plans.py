@@ -25,6 +25,10 @@ def test_stream_scoring_equals_batch_and_is_resumable(spark):
     # a restart with the same checkpoint finds nothing new to score
     score_stream(spark, f"{root}/source", test.schema, ti, result.bundle, f"{root}/sink", f"{root}/ckpt", 2)
     assert spark.read.parquet(f"{root}/sink").count() == len(batch)
+    # a fresh checkpoint re-runs every batch: the sink is overwritten per
+    # batch, not appended to, so no prediction is duplicated
+    score_stream(spark, f"{root}/source", test.schema, ti, result.bundle, f"{root}/sink", f"{root}/ckpt2", 2)
+    assert spark.read.parquet(f"{root}/sink").count() == len(batch)
 
 
 def test_play_batches_order(spark):
