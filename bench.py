@@ -111,6 +111,9 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
     n_frames = frames.count()
+    # Input frames processed per second by the row-proportional operators.
+    per_row = ("time_lag_features", "prepare_features", "join_inputs_outputs", "engineer_features", "score_test")
+    throughput = {k: round(n_frames / times[k]) for k in per_row if times.get(k)}
     print(
         json.dumps(
             {
@@ -120,6 +123,7 @@ def main() -> None:
                 "queries": times,
                 "rows": rows,
                 "input_rows": n_frames,
+                "rows_per_sec": throughput,
                 "sf": _sf(SF_DIR),
                 "cpus": CPUS,
             }
