@@ -111,21 +111,29 @@ def _split_hot_lags(hot: DataFrame, keys, order, lags, x, y, frame) -> DataFrame
     # contiguous, ordered slices (equal sort keys never straddle two slices).
     sliced = hot.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id())
     segment = Window.partitionBy(*keys, "_slice")
-    positioned = sliced.withColumns(
-        {
-            "_pos": F.row_number().over(segment.orderBy(*order)),
-            "_seg_n": F.count(F.lit(1)).over(segment),
-        }
+    ordered = segment.orderBy(*order)
+    # Position, slice size and all shifts in one pass over each sorted slice:
+    # the same Window node sees one row order, so positions and shifts agree
+    # even among rows that tie on the ordering.
+    shifts = _shift_exprs(ordered, keys, lags, x, y, frame)
+    inner = sliced.select(
+        "*",
+        F.row_number().over(ordered).alias("_pos"),
+        F.count(F.lit(1)).over(segment).alias("_seg_n"),
+        *[c.alias(n) for n, c in shifts.items()],
+    )
+    body = inner.where(F.col("_pos") > depth).select(
+        *sliced.columns, "_pos", *shifts, *[c.alias(n) for n, c in _delta_exprs(lags, x, y, frame).items()]
     )
-    inner = _with_lags(positioned, [*keys, "_slice"], [*order, "_pos"], keys, lags, x, y, frame)
-    body = inner.where(F.col("_pos") > depth)
     # The first `depth` rows of a slice need up to `depth` predecessors, which
     # are the head rows of the slice or tail rows of earlier slices.
-    boundary = positioned.where((F.col("_pos") <= depth) | (F.col("_pos") > F.col("_seg_n") - depth))
+    boundary = inner.where((F.col("_pos") <= depth) | (F.col("_pos") > F.col("_seg_n") - depth)).select(
+        *sliced.columns, "_pos"
+    )
     fixed = _with_lags(boundary, keys, [*order, "_slice", "_pos"], keys, lags, x, y, frame).where(
         F.col("_pos") <= depth
     )
-    return body.unionByName(fixed).drop("_slice", "_pos", "_seg_n")
+    return body.unionByName(fixed).drop("_slice", "_pos")
 
 
 def time_lag_features(
