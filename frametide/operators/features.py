@@ -32,13 +32,16 @@ def prepare_features(
 
     Position codes come from ``vocabulary`` when one is given (the fitted
     training vocabulary, P7); otherwise from the data itself, either sorted
-    (P6, ``encoder="sorted"``) or by first appearance in ``order_col`` (P8).
+    (P6, ``encoder="sorted"``) or by first appearance in ``order_col`` (P8);
+    ``encoder="none"`` leaves the code column out.
     """
     ball_present = has_ball_columns(df)  # decided on the raw input
     out = ensure_numeric(df, NUMERIC_FEATURE_INPUTS)
     out = direction_sin_cos(out)
     if vocabulary is not None:
         out = category_code_vocab(out, vocabulary)
+    elif encoder == "none":
+        pass  # codes are applied later (e.g. after a vocabulary is fitted)
     elif encoder == "first_seen":
         out = category_code_first_seen(out, order_col=order_col or "row_id")
     else:

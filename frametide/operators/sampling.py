@@ -69,9 +69,16 @@ def sample_exact_n_with_total(
     ``n + count / 65536`` rows, whose top ``n`` is the answer. The result
     is identical to ordering every row.
     """
-    hashed = df.withColumn("_sample_hash", key_hash(keys, seed))
-    prefix = F.substring("_sample_hash", 1, PREFIX_DIGITS)
-    hist = sorted((r["p"], r["c"]) for r in hashed.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")).collect())
+    prefix = F.substring(key_hash(keys, seed), 1, PREFIX_DIGITS)
+    counts = df.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")).collect()
+    return sample_from_histogram(df, sorted((r["p"], r["c"]) for r in counts), n, keys, seed)
+
+
+def sample_from_histogram(
+    df: DataFrame, hist: Sequence[tuple[str, int]], n: int, keys: Sequence[str], seed: int = 42
+) -> tuple[DataFrame, int]:
+    """The exact sample given the sorted (prefix, rows) histogram of
+    ``df``'s sample hashes; returns (sample, row count)."""
     total = sum(c for _, c in hist)
     if total <= n:
         return df, total
@@ -81,7 +88,8 @@ def sample_exact_n_with_total(
         if running >= n:
             boundary = p
             break
-    candidates = hashed.where(prefix <= F.lit(boundary))
+    hashed = df.withColumn("_sample_hash", key_hash(keys, seed))
+    candidates = hashed.where(F.substring("_sample_hash", 1, PREFIX_DIGITS) <= F.lit(boundary))
     return first_n(candidates, n, ["_sample_hash", *keys]).drop("_sample_hash"), total
 
 

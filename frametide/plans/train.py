@@ -10,12 +10,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frametide.functions.encoders import fit_first_seen_vocabulary, fit_sorted_vocabulary
+from frametide.functions.encoders import VOCAB_LITERAL_LIMIT, category_code_vocab
 from frametide.operators import models as M
 from frametide.operators.features import clean_features, prepare_features, select_features
 from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
 from frametide.operators.joins import join_inputs_outputs
-from frametide.operators.sampling import VALIDATION_FRACTION, sample_exact_n_with_total, train_val_split
+from frametide.operators.sampling import (
+    PREFIX_DIGITS,
+    VALIDATION_FRACTION,
+    key_hash,
+    sample_from_histogram,
+    train_val_split,
+)
 from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
 
 
@@ -27,6 +33,8 @@ class TrainResult:
     path: str | None
 
 
+CODE_COLUMN = "player_pos_code"
+POSITION_COLUMN = "player_position"
 # Player series larger than this are lagged on the split path (see lags.py).
 HOT_GROUP_ROWS = 2_000_000
 
@@ -53,6 +61,7 @@ def build_training_rows(
     tiebreak: Sequence[str] = (),
     feature_columns: Sequence[str] = FEATURE_COLUMNS,
     hot_group_rows: int | None = HOT_GROUP_ROWS,
+    encode: bool = True,
 ) -> DataFrame:
     """J1 -> (W5) -> P9 -> P13: one row per training example carrying its
     keys, features and both labels (nothing is aligned by position).
@@ -60,13 +69,50 @@ def build_training_rows(
     The join is left to AQE: a label side measured small is broadcast,
     otherwise a sort-merge join whose skewed partitions AQE splits. The lag
     window is only planned when the feature list uses lag columns (the
-    default twelve features do not)."""
+    default twelve features do not). With ``encode=False`` the position code
+    is left out and ``player_position`` kept, for coding after a vocabulary
+    has been fitted on these rows."""
     merged = join_inputs_outputs(inputs, outputs)
     if uses_lag_features(feature_columns):
         merged = lag_stage(merged, inputs, [*tiebreak, "x_target", "y_target"], hot_group_rows)
-    feats, _ = prepare_features(merged, vocabulary=vocabulary)
     keep = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
-    return clean_features(select_features(feats, feature_columns, keep), feature_columns)
+    if encode:
+        feats, _ = prepare_features(merged, vocabulary=vocabulary)
+        return clean_features(select_features(feats, feature_columns, keep), feature_columns)
+    feats, _ = prepare_features(merged, encoder="none")
+    uncoded = [c for c in feature_columns if c != CODE_COLUMN]
+    position = [POSITION_COLUMN] if POSITION_COLUMN in feats.columns else []
+    return clean_features(select_features(feats, uncoded, [*keep, *position]), uncoded)
+
+
+def profile_rows(
+    rows: DataFrame, sample_keys: Sequence[str], seed: int, order_col: str | None, vocab_limit: int = VOCAB_LITERAL_LIMIT
+) -> tuple[list[tuple[str, int]], list[str] | None]:
+    """One aggregation pass over the training rows (grouping sets, i.e. one
+    Expand + partial aggregation) giving both the sample-hash prefix
+    histogram and the position vocabulary: first-appearance order by
+    ``order_col`` when given, else sorted. At most 65 536 prefix rows plus
+    ``vocab_limit + 1`` position rows reach the driver."""
+    hashed = rows.withColumn("_prefix", F.substring(key_hash(sample_keys, seed), 1, PREFIX_DIGITS))
+    has_position = POSITION_COLUMN in rows.columns
+    if not has_position:
+        hashed = hashed.withColumn(POSITION_COLUMN, F.lit(None).cast("string"))
+    first = F.min(order_col) if order_col else F.lit(None).cast("long")
+    stats = hashed.groupingSets([["_prefix"], [POSITION_COLUMN]], "_prefix", POSITION_COLUMN).agg(
+        F.count(F.lit(1)).alias("n"), first.alias("first"), F.grouping_id().alias("g")
+    )
+    collected = stats.limit(16 ** PREFIX_DIGITS + vocab_limit + 2).collect()
+    hist = sorted((r["_prefix"], r["n"]) for r in collected if r["g"] == 1)
+    positions = [r for r in collected if r["g"] == 2 and r[POSITION_COLUMN] is not None]
+    if not has_position:
+        return hist, None
+    if len(positions) > vocab_limit:
+        raise ValueError(f"{POSITION_COLUMN} has more than {vocab_limit} distinct values")
+    if order_col:
+        vocab = [r[POSITION_COLUMN] for r in sorted(positions, key=lambda r: (r["first"], r[POSITION_COLUMN]))]
+    else:
+        vocab = sorted(r[POSITION_COLUMN] for r in positions)
+    return hist, vocab
 
 
 def train(
@@ -86,20 +132,20 @@ def train(
 ) -> TrainResult:
     """M8. ``order_col`` (a row id of the inputs) makes the position
     vocabulary first-appearance ordered; without it the vocabulary is sorted.
-    The same vocabulary is stored with the model and used at scoring."""
+    The vocabulary is fitted on the training rows, stored with the model and
+    used at scoring. The join and feature plan runs exactly twice: one
+    profiling aggregation and one checkpointed sample."""
     tiebreak = [order_col] if order_col else []
-    if order_col:
-        vocab = fit_first_seen_vocabulary(inputs.join(outputs.select(*FRAME_KEYS), FRAME_KEYS, "left_semi"), "player_position", order_col)
-    else:
-        vocab = fit_sorted_vocabulary(inputs, "player_position")
-    if vocab is None:
-        raise ValueError("player_position has too many distinct values for a stored vocabulary")
-
-    rows = build_training_rows(inputs, outputs, vocab, tiebreak, feature_columns, hot_group_rows)
+    rows = build_training_rows(inputs, outputs, None, tiebreak, feature_columns, hot_group_rows, encode=False)
     sample_keys = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
-    # One pass counts the clean rows and locates the sample; a second pass
-    # (the checkpoint below) materialises it.
-    sampled, n_clean = sample_exact_n_with_total(rows, max_rows, sample_keys, seed=seed)
+    # Pass 1: one aggregation yields the row count, the sample boundary and
+    # the position vocabulary. Pass 2 (the checkpoint below) materialises the
+    # exact sample with its position codes.
+    hist, vocab = profile_rows(rows, sample_keys, seed, order_col)
+    sampled, n_clean = sample_from_histogram(rows, hist, max_rows, sample_keys, seed)
+    if CODE_COLUMN in feature_columns:
+        sampled = category_code_vocab(sampled, vocab or [])
+    sampled = sampled.select(*sample_keys, *feature_columns)
     counts = {"n_clean": n_clean}
     # The sampled, split rows are materialised once in the shared checkpoint
     # folder: fitting and evaluation read them without re-running the join
