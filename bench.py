@@ -77,8 +77,22 @@ def main() -> None:
             holder["bundle"] = result.bundle
             return result.counts["n_clean"]
 
+        # Skew case: every frame with line status 'F' (about half of all rows)
+        # collapsed into one player series, lagged on the split path.
+        hot_flag = F.col("player_position") == "F"
+        skewed = frames.select(
+            F.when(hot_flag, F.lit("hot")).otherwise(F.col("game_id")).alias("game_id"),
+            F.when(hot_flag, F.lit(0)).otherwise(F.col("play_id")).alias("play_id"),
+            F.when(hot_flag, F.lit(0)).otherwise(F.col("nfl_id")).alias("nfl_id"),
+            "frame_id", "row_id", "x", "y",
+        )
+
         return frames, [
             ("time_lag_features", lambda: noop(time_lag_features(frames, tiebreak="row_id"))),
+            (
+                "time_lag_features_hot_series",
+                lambda: noop(time_lag_features(skewed, tiebreak="row_id", hot_group_rows=20_000)),
+            ),
             ("prepare_features", lambda: noop(prepare_features(frames)[0])),
             ("join_inputs_outputs", lambda: noop(joins.join_inputs_outputs(frames, labels))),
             ("engineer_features", training_matrix),
