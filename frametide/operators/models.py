@@ -164,17 +164,16 @@ def fit_models(
     early stopping; forests are fitted on the training rows only."""
     fams = _with_max_iter(families, max_iter)
     labels = labels or {"x": "x_target", "y": "y_target"}
-    template = build_pipeline(fams, feature_columns, labels, validation)
-    assembler, estimators = template.getStages()[0], template.getStages()[1:]
     use_val = bool(validation) and validation in train.columns
+    template = build_pipeline(fams, feature_columns, labels, validation if use_val else None)
+    assembler, estimators = template.getStages()[0], template.getStages()[1:]
     cols = ["features", *labels.values(), *([validation] if use_val else [])]
     data = durable(assembler.transform(train).select(*cols))
     training_rows = data.where(~F.col(validation)) if use_val else data
 
     def fit_one(est):
-        if isinstance(est, RandomForestRegressor) or not use_val:
-            return est.fit(training_rows if isinstance(est, RandomForestRegressor) else data)
-        return est.fit(data)
+        # Boosted learners split off their validation rows themselves.
+        return est.fit(training_rows if isinstance(est, RandomForestRegressor) else data)
 
     with ThreadPoolExecutor(max_workers=max(1, len(estimators))) as pool:
         fitted = list(pool.map(fit_one, estimators))

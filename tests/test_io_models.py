@@ -121,3 +121,12 @@ def test_some_queries_match_duckdb_at_small_scale(spark):
     for name in names:
         ok, msg = compare(name, entry.queries()[name](spark, SF_SMALL).toPandas(), con.execute(entry.oracle_sql()[name]).df())
         assert ok, f"{name}: {msg}"
+
+
+def test_fit_without_validation_column(spark):
+    rows = fx.frames_events(spark, SF_SMALL).withColumns({"x_target": F.col("x") * 0.9, "y_target": F.col("y") * 0.9})
+    from frametide.operators.features import prepare_features
+
+    feats, cols = prepare_features(rows)
+    bundle = M.fit_models(feats, M.ENSEMBLE_PARAMS, cols, validation="is_val", max_iter=2)
+    assert bundle.families == ["a", "b"] and M.score(bundle, feats).count() == feats.count()
