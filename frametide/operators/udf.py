@@ -33,8 +33,14 @@ def check_named(fn: Callable) -> None:
         raise ValidationError(ErrorType.GATEWAY_RAISED_EXCEPTION, "predict must be a named function")
 
 
-def largest_play(df: DataFrame, keys: Sequence[str] = PLAY_KEYS) -> int:
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+def largest_play(*frames: DataFrame, keys: Sequence[str] = PLAY_KEYS) -> int:
+    """Most rows any one play holds in any of ``frames`` (one aggregation
+    job over the key columns; partial aggregation before the shuffle)."""
+    tagged = None
+    for i, df in enumerate(frames):
+        part = df.select(*keys).withColumn("_src", F.lit(i))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    row = tagged.groupBy("_src", *keys).count().agg(F.max("count").alias("m")).first()
     return int(row["m"] or 0)
 
 
@@ -51,7 +57,7 @@ def custom_predict(
     check_named(fn)
     ship_package(test.sparkSession)
     if max_play_rows is not None:
-        biggest = max(largest_play(test, keys), largest_play(test_input, keys))
+        biggest = largest_play(test, test_input, keys=keys)
         if biggest > max_play_rows:
             raise ValidationError(
                 ErrorType.GATEWAY_RAISED_EXCEPTION,

@@ -80,3 +80,11 @@ def test_week_partitioned_scan_prunes(spark):
     assert "PartitionFilters: [isnotnull(week" in plan and "(week#" in plan
     assert "ReadSchema: struct<row_id:bigint,x:double>" in plan
     assert sorted(r["row_id"] for r in late.collect()) == sorted(r["row_id"] for r in frames.where("week > 3").collect())
+
+
+def test_label_filter_and_columns_reach_the_scan(spark):
+    labels = fx.labels_lineitem(spark, SF_SMALL)
+    plan = labels._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_linestatus,F)" in plan
+    read = plan[plan.index("ReadSchema: "):].split("\n")[0]
+    assert "l_tax" not in read and "l_shipdate" not in read
