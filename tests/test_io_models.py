@@ -130,3 +130,17 @@ def test_fit_without_validation_column(spark):
     feats, cols = prepare_features(rows)
     bundle = M.fit_models(feats, M.ENSEMBLE_PARAMS, cols, validation="is_val", max_iter=2)
     assert bundle.families == ["a", "b"] and M.score(bundle, feats).count() == feats.count()
+
+
+def test_row_local_predict(spark):
+    from frametide.operators.udf import row_local_predict
+
+    rows = fx.test_input_events(spark, SF_SMALL).withColumn("id", F.col("row_id").cast("string"))
+
+    def shift(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"x": pdf["x"] + 1.0, "y": pdf["y"] - 1.0})
+
+    out = row_local_predict(rows, shift)
+    got = {r["id"]: (r["x"], r["y"]) for r in out.collect()}
+    exp = {r["id"]: (r["x"] + 1.0, r["y"] - 1.0) for r in rows.select("id", "x", "y").collect()}
+    assert got == exp
