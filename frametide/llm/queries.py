@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets
+from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import table
 from frametide.llm.registry import llm_query
 
@@ -65,3 +65,8 @@ def op2_chat_formatting(spark, sf_dir):
 def op6_quality_crf(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_crf.predict(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@llm_query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
