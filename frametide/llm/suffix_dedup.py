@@ -10,9 +10,12 @@ doc_id, or earlier in the document) goes. Four steps, all over whole texts:
    occurrence; the others repeat it. An anchor seen once, or with one content,
    needs nothing more.
 3. Different pieces under one anchor share windows only in part (edges of a
-   copy or passage). Their texts form shards; each shard's suffix array is
-   built by induced sorting, permuted common prefixes of 100 or more bytes
-   group equal windows, and all but the earliest of a group are repeats.
+   copy or passage, or a short common line in many contexts). They are cut
+   once more by a second anchor, the smallest hash among the window's grams
+   clear of the first, which spreads short common lines over their contexts.
+   The texts that still share both anchors form shards; each shard's suffix
+   array is built by induced sorting, permuted common prefixes of 100 or more
+   bytes group equal windows, and all but the earliest of a group are repeats.
 4. Repeats merge to runs per document.
 
 Defined cases: null and empty texts are empty; rows without an id keep their
@@ -54,17 +57,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def _sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Running polynomial sums, inverse powers, and the hashes of all grams."""
+    n = len(raw)
+    up, down = _powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * up[:n], out=sums[1:])
+    return sums, down, mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
+
+
 def pieces(raw: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, ...]:
     """(anchor hash, piece hash, first window, last window) of the windows
     whose start is ``usable``; bytes of several rows may follow each other."""
-    n = len(raw)
     none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if n < WINDOW:
+    if len(raw) < WINDOW:
         return none
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * up[:n], out=sums[1:])
-    gram = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
+    sums, down, gram = _sums(raw)
     least = (gram >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(gram), dtype=np.uint64)
     size = 1
     while 2 * size <= SPAN:
@@ -144,7 +152,7 @@ def _deal(buckets: int):
             again = bucket[at] >= buckets
             cols[0] = [b"" if r else x for r, x in zip(again, cols[0], strict=True)]
             cols[1] = [b"" if r else x for r, x in zip(again, cols[1], strict=True)]
-            yield pa.record_batch([pa.array((bucket[at] % (2 * buckets)).astype(np.int32)), pa.array(again), *[pa.array(c, pa.binary()) for c in cols]], ["bucket", "repeat", *_COLUMNS])
+            yield pa.record_batch([pa.array((bucket[at]).astype(np.int32)), pa.array(again), *[pa.array(c, pa.binary()) for c in cols]], ["bucket", "repeat", *_COLUMNS])
 
     return run
 
@@ -160,7 +168,8 @@ def _per_document(doc, *arrays):
     doc = doc[order]
     at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
     to = np.append(at[1:], len(doc))[: len(at)]
-    return doc[at], [[x[order][i:j].tobytes() for i, j in zip(at, to, strict=True)] for x in arrays]
+    arrays = [x[order] for x in arrays]
+    return doc[at], [[x[i:j].tobytes() for i, j in zip(at, to, strict=True)] for x in arrays]
 
 
 def _found(doc, a, b, need=None):
@@ -172,7 +181,7 @@ def _found(doc, a, b, need=None):
         ids, (ph, qa, qb) = _per_document(doc, h, a.astype(np.int32), b.astype(np.int32))
         rows["doc_id"].append(ids)
         rows["sort"].append(np.ones(len(ids), bool))
-        rows["h"], rows["a"], rows["b"] = rows["h"] + ph, rows["a"] + pa_[:0] + qa, rows["b"] + qb
+        rows["h"], rows["a"], rows["b"] = rows["h"] + ph, rows["a"] + qa, rows["b"] + qb
     return pa.table(
         {
             "doc_id": pa.array(np.concatenate(rows["doc_id"]), pa.int64()),
@@ -212,25 +221,52 @@ def _meet(table: pa.Table) -> pa.Table:
     return _found(doc[repeat], first[repeat], last[repeat], (h[need], doc[need], first[need], last[need]))
 
 
+def second_anchors(gram: np.ndarray, h: int, first: int, last: int) -> np.ndarray:
+    """For the windows first..last under anchor ``h``: the smallest re-hashed
+    gram that doesn't overlap the anchor. One side of it always has room."""
+    at = first + int(np.argmax(gram[first : last + SPAN] == np.uint64(h)))
+    count = last - first + 1
+    out = np.full(count, np.uint64(2**64 - 1))
+    if at - GRAM >= first:
+        left = np.minimum.accumulate(mixed(gram[first : at - GRAM + 1] ^ _SECOND)[::-1])[::-1][:count]
+        out[: len(left)] = left
+    if last + SPAN - 1 >= at + GRAM:
+        right = np.minimum.accumulate(mixed(gram[at + GRAM : last + SPAN] ^ _SECOND))[-count:]
+        out[count - len(right) :] = np.minimum(out[count - len(right) :], right)
+    return out
+
+
+_SECOND = np.uint64(0x5851F42D4C957F2D)
+
+
 def _cut(shards: int):
-    """The texts of pieces that need sorting, packed per shard of the anchor hash."""
+    """Pieces that need sorting, cut by their second anchors and packed with
+    their texts per shard of both anchors."""
 
     def run(batches):
         for batch in batches:
             raw, offsets = flat_text(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).tolist()
             out: dict[int, list] = {}
             for i, (hs, fs, ls) in enumerate(zip(batch.column("h"), batch.column("a"), batch.column("b"), strict=True)):
                 h, first, last = _join(hs.values, np.uint64), _join(fs.values, np.int32), _join(ls.values, np.int32)
-                shard = ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
                 text = raw[offsets[i] : offsets[i + 1]]
-                for s, f, t in zip(shard.tolist(), first.tolist(), last.tolist(), strict=True):
-                    if t + WINDOW <= len(text):
-                        out.setdefault(s, []).append((ids[i], f, text[f : t + WINDOW].tobytes()))
+                ok = last + WINDOW <= len(text)
+                if not ok.any():
+                    continue
+                _, _, gram = _sums(text)
+                whole = text.tobytes()
+                for x, f, t in zip(h[ok].tolist(), first[ok].tolist(), last[ok].tolist(), strict=True):
+                    second = second_anchors(gram, x, f, t)
+                    edge = [0, *(np.flatnonzero(second[1:] != second[:-1]) + 1).tolist(), t - f + 1]
+                    for a, b in zip(edge, edge[1:], strict=False):
+                        key = (int(second[a]) * 0x9E3779B97F4A7C15 ^ x) & (2**64 - 1)
+                        out.setdefault((key >> 32) * shards >> 32, []).append((key, ids[i], f + a, whole[f + a : f + b - 1 + WINDOW]))
             if out:
-                rows = [(s, np.array([x[0] for x in v], np.int64).tobytes(), np.array([x[1] for x in v], np.int32).tobytes(), np.array([len(x[2]) for x in v], np.int32).tobytes(), b"".join(x[2] for x in v)) for s, v in out.items()]
-                cols = list(zip(*rows, strict=True))
-                yield pa.record_batch([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["shard", "doc", "first", "size", "text"])
+                kinds = (np.uint64, np.int64, np.int32)
+                cols = [[np.array([x[c] for x in v], kinds[c]).tobytes() for v in out.values()] for c in range(3)]
+                cols += [[np.array([len(x[3]) for x in v], np.int32).tobytes() for v in out.values()], [b"".join(x[3] for x in v) for v in out.values()]]
+                yield pa.record_batch([pa.array(list(out), pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], ["shard", "key", "doc", "first", "size", "text"])
 
     return run
 
@@ -268,17 +304,47 @@ def repeated_windows(texts: np.ndarray, size: np.ndarray, doc: np.ndarray, first
 
 
 def _sort(table: pa.Table) -> pa.Table:
+    """Of a shard's pieces: repeats of equal pieces, and repeated windows of
+    those that share both anchors with a different piece."""
+    key = _join(table.column("key"), np.uint64)
+    order = np.argsort(key, kind="stable")
+    shared = np.zeros(len(key), bool)
+    same = key[order][1:] == key[order][:-1]
+    shared[order[1:]] |= same
+    shared[order[:-1]] |= same
     doc, first, size = _join(table.column("doc"), np.int64), _join(table.column("first"), np.int32).astype(np.int64), _join(table.column("size"), np.int32).astype(np.int64)
-    texts = np.frombuffer(b"".join(x.as_py() for x in table.column("text")), np.uint8)
-    again = repeated_windows(texts, size, doc, first)
-    at = np.flatnonzero(again)
-    begin = np.cumsum(size) - size
-    owner = np.searchsorted(begin, at, "right") - 1
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
-    a, o = at[new], owner[new]
-    b = np.append(at[:-1][new[1:]], at[-1:])
-    return _found(doc[o], first[o] + a - begin[o], first[o] + b - begin[o])
+    raw = b"".join(x.as_py() for x in table.column("text"))
+    end = np.cumsum(size)
+    pick = np.flatnonzero(shared)
+    pick = pick[np.lexsort((first[pick], doc[pick]))]
+    lead: dict = {}
+    contents: dict[int, int] = {}
+    again, alone = [], []
+    for i, k, d, f in zip(pick.tolist(), key[pick].tolist(), doc[pick].tolist(), first[pick].tolist(), strict=True):
+        name = (k, raw[end[i] - size[i] : end[i]])
+        seen = lead.setdefault(name, (d, f))
+        if seen == (d, f):
+            if len(alone) == 0 or alone[-1][1] != name or (d, f) != (doc[alone[-1][0]], first[alone[-1][0]]):
+                alone.append((i, name))
+                contents[k] = contents.get(k, 0) + 1
+        else:
+            again.append(i)
+    again = np.array(again, np.int64)
+    need = np.array([i for i, (k, _) in alone if contents[k] > 1], np.int64)
+    a_doc, a_first, a_last = doc[again], first[again], first[again] + size[again] - WINDOW
+    if len(need):
+        doc, first, size, end = doc[need], first[need], size[need], end[need]
+        texts = np.frombuffer(b"".join(raw[e - s : e] for e, s in zip(end.tolist(), size.tolist(), strict=True)), np.uint8)
+        del raw, lead, alone
+        at = np.flatnonzero(repeated_windows(texts, size, doc, first))
+        begin = np.cumsum(size) - size
+        owner = np.searchsorted(begin, at, "right") - 1
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
+        a, o = at[new], owner[new]
+        b = np.append(at[:-1][new[1:]], at[-1:])
+        a_doc, a_first, a_last = (np.concatenate(x) for x in ((a_doc, doc[o]), (a_first, first[o] + a - begin[o]), (a_last, first[o] + b - begin[o])))
+    return _found(a_doc, a_first, a_last)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -286,12 +352,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
-    found = named.mapInArrow(_deal(buckets), _PACKED).groupBy("bucket").applyInArrow(_meet, _FOUND).checkpoint()
+    dealt = named.mapInArrow(_deal(2 * buckets), _PACKED).repartition(buckets, "bucket")
+    found = dealt.groupBy("bucket").applyInArrow(_meet, _FOUND).checkpoint()
     need = found.where("sort").groupBy("doc_id").agg(F.collect_list("h").alias("h"), F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     count = found.where("sort").agg(F.coalesce(F.sum(F.length("h")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-count * (WINDOW + GRAM) // SHARD_BYTES))
-    cut = named.join(need, "doc_id").select("doc_id", "text", "h", "a", "b").mapInArrow(_cut(shards), "shard int, doc binary, first binary, size binary, text binary")
-    sorted_ = cut.groupBy("shard").applyInArrow(_sort, _FOUND)
+    cut = named.join(need, "doc_id").select("doc_id", "text", "h", "a", "b").mapInArrow(_cut(shards), "shard int, key binary, doc binary, first binary, size binary, text binary")
+    sorted_ = cut.repartition(min(shards, buckets), "shard").groupBy("shard").applyInArrow(_sort, _FOUND)
     return found.where("not sort").select("doc_id", "a", "b").union(sorted_.select("doc_id", "a", "b"))
 
 
