@@ -8,10 +8,10 @@ is cut into more pieces than that difference; the parity (XOR) of a piece is
 its join key, and linked sets agree in at least ``pieces - difference`` keys.
 
 Equal sets are one class before anything is joined. Members of a key group are
-first verified against the smallest member seen with them; then every pair of
-a group that is still in different components is verified, so no link between
-components is lost and no group is expanded into all its pairs. Pairs pass the
-Hamming bound of 512-bit sketches, then the exact intersection.
+first verified against the smallest leader met, then against a leader of each
+group; last, every pair of a group that is still in different components and
+within the sketch bound is verified, so no link between components is lost. Pairs pass the
+Hamming bound of 1024-bit sketches, then the exact intersection.
 
 Defined cases: null, empty and blank texts have no shingles and link with
 nothing (component_id is their doc_id); fewer than four words are one shingle;
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frametide.llm.common import flat_text, mixed, passes, random_table, typed
@@ -34,9 +34,13 @@ from frametide.llm.common import flat_text, mixed, passes, random_table, typed
 SHINGLE = 4
 #: Jaccard threshold in percent.
 PERCENT = 85
-SKETCH_WORDS = 8
-#: Spare pieces beyond the difference, as a share of it, so that pieces with one shingle or none need not be joined.
-SPARE = 0.15
+SKETCH_WORDS = 16
+#: Spare pieces beyond the difference, as a share of it: linked sets agree in more pieces by as many.
+SPARE = 0.2
+#: Key groups of this many sets or more may be dropped by a set that has keys to spare.
+LARGE = 16
+#: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
+BROADCAST_ROWS = 400_000
 _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
 _BYTE = random_table(101)
@@ -128,13 +132,15 @@ def most_different(band: int) -> int:
     return (100 - PERCENT) * (BANDS[band + 1] - 1) // PERCENT
 
 
-def piece_keys(s: np.ndarray, band: int) -> np.ndarray:
-    """Join keys of a set in ``band``: the parities of its hash range's pieces.
+def piece_keys(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+    """Join keys of a set in ``band``, the parities of its hash range's
+    pieces, and how many of them any linked set has at least.
 
-    With ``pieces - difference`` agreeing pieces at least, a set with fewer
-    weak pieces than that needs none of them as keys; else all are keys."""
+    Linked sets agree in ``pieces - difference`` pieces. Weak pieces (one
+    shingle or none) are no keys if a strong one must agree as well; a set of
+    too many weak pieces has all pieces as keys."""
     d = most_different(band)
-    spare = max(1, int(np.ceil(SPARE * d)))
+    spare = 2 + int(np.ceil(SPARE * d))
     n = d + 1 + spare
     piece = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
     at = np.flatnonzero(np.diff(piece, prepend=np.uint64(n)))
@@ -143,21 +149,24 @@ def piece_keys(s: np.ndarray, band: int) -> np.ndarray:
     count = np.diff(at, append=len(s))
     strong = count > (1 if d >= 8 else 0)
     salt = random_table(band + 1_000, 1)[0]
-    if n - int(strong.sum()) > spare:
+    weak = n - int(strong.sum())
+    if weak > spare:
         whole = np.zeros(n, np.uint64)
         whole[place.astype(np.int64)] = parity
-        return mixed(whole ^ mixed(np.arange(n, dtype=np.uint64) + salt))
-    return mixed(parity[strong] ^ mixed(place[strong] + salt))
+        return mixed(whole ^ mixed(np.arange(n, dtype=np.uint64) + salt)), 1
+    return mixed(parity[strong] ^ mixed(place[strong] + salt)), spare + 1 - weak
 
 
-def keys_of(s: np.ndarray) -> np.ndarray:
-    """Keys in the set's own band and, as the larger partner, in the one below."""
+def keys_of(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in the set's own band and, as the larger partner, in the one
+    below; for each key 2 * (agreeing keys at least) + (0 own band, 1 below)."""
     n = len(s)
     band = int(np.searchsorted(_BAND_ARRAY, n, "right")) - 1
-    out = [piece_keys(s, band)] if most_different(band) else []
+    out = [piece_keys(s, band)] if most_different(band) else [(s[:0], 0)]
     if band and most_different(band - 1) and PERCENT * n <= 100 * (BANDS[band] - 1):
         out.append(piece_keys(s, band - 1))
-    return np.concatenate(out) if out else s[:0]
+    slots = [np.full(len(k), min(2 * m, 1 << 14) + i, np.int16) for i, (k, m) in enumerate(out)]
+    return np.concatenate([k for k, _ in out]), np.concatenate(slots)
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -184,71 +193,85 @@ def _digest(batches):
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, set size, set id and 512-bit parity sketch per row."""
+    """doc_id, set size, set id and 1024-bit parity sketch per row."""
     ddl = "n_shingles bigint, set_id bigint, " + ", ".join(f"k{i} bigint" for i in range(SKETCH_WORDS))
     return docs.select("doc_id", "text").mapInArrow(_digest, typed(docs, ["doc_id"], ddl))
 
 
 def _deal(buckets: int):
-    """Keys and set ids of a batch as one row of packed arrays per bucket:
-    a million keys cost a few hundred rows. Equal sets of a batch count once."""
+    """Keys, set ids and slots of a batch as one row of packed arrays per
+    bucket: a million keys cost a few hundred rows. Equal sets of a batch count once."""
 
     def run(batches):
         for batch in batches:
-            seen, keys, ids = set(), [], []
+            seen, keys, ids, slots = set(), [], [], []
             for s in _each_set(batch):
                 if len(s) and (i := set_id(s)) not in seen:
                     seen.add(i)
-                    k = keys_of(s)
+                    k, slot = keys_of(s)
                     keys.append(k)
+                    slots.append(slot)
                     ids.append(np.full(len(k), i, np.int64))
-            if not keys:
+            if not sum(map(len, keys)):
                 continue
-            k, i = np.concatenate(keys), np.concatenate(ids)
+            k = np.concatenate(keys)
             order = np.argsort(k)
-            k, i = k[order], i[order]
+            k, i, slot = k[order], np.concatenate(ids)[order], np.concatenate(slots)[order]
             bucket = ((k >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
             to = np.append(at[1:], len(k))
-            rows = list(zip(at.tolist(), to.tolist(), strict=True))
-            yield pa.record_batch([pa.array(bucket[at].astype(np.int32)), pa.array([k[a:b].tobytes() for a, b in rows], pa.binary()), pa.array([i[a:b].tobytes() for a, b in rows], pa.binary())], ["bucket", "keys", "ids"])
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(at, to, strict=True)], pa.binary()) for x in (k, i, slot)]
+            yield pa.record_batch([pa.array(bucket[at].astype(np.int32)), *packed], ["bucket", "keys", "ids", "slots"])
 
     return run
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Key groups of two sets or more: group, set id and smallest set id. The
-    group is named by its members, so the keys that they share are one group."""
-    k = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")])
-    i = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("ids")])
+    """Key groups of two sets or more: (g, id, slot, size). Small groups are
+    named by their members, so the keys that they share are one group; large
+    ones by their key."""
+    k, i, slot = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)]) for c, t in (("keys", np.uint64), ("ids", np.int64), ("slots", np.int16)))
     order = np.argsort(k, kind="stable")
-    k, i = k[order], i[order]
+    k, i, slot = k[order], i[order], slot[order]
     twin = np.zeros(len(k), bool)
     same = k[1:] == k[:-1]
     twin[1:] = same
     twin[:-1] |= same
-    k, i = k[twin], i[twin]
+    k, i, slot = k[twin], i[twin], slot[twin]
     order = np.lexsort((i, k))
-    k, i = k[order], i[order]
+    k, i, slot = k[order], i[order], slot[order]
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (i[1:] != i[:-1])
-    k, i = k[new], i[new]
-    at = np.flatnonzero(np.diff(k, prepend=k[:1] + np.uint64(1))) if len(k) else np.zeros(0, np.int64)
+    k, i, slot = k[new], i[new], slot[new]
+    lead = np.ones(len(k), bool)
+    lead[1:] = k[1:] != k[:-1]
+    at = np.flatnonzero(lead)
     size = np.diff(at, append=len(k))
-    group = np.add.reduceat(mixed(i.view(np.uint64)), at) if len(at) else k
-    _, first = np.unique(group, return_index=True)
+    members = np.add.reduceat(mixed(i.view(np.uint64)), at) if len(at) else k
+    _, first = np.unique(members, return_index=True)
     keep = np.zeros(len(at), bool)
     keep[first] = True
-    keep &= size > 1
+    large = size >= LARGE
+    keep = (keep | large) & (size > 1)
+    name = np.where(large, k[at], members)
     rows = np.repeat(keep, size)
-    return pa.table({"g": np.repeat(group, size)[rows].view(np.int64), "id": i[rows], "low": np.repeat(i[at] if len(at) else i, size)[rows]})
+    return pa.table({"g": np.repeat(name, size)[rows].view(np.int64), "id": i[rows], "slot": slot[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
 
 
 def key_groups(docs: DataFrame) -> DataFrame:
-    """(g, id, low): sets that share a key, and the smallest of them."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("text").mapInArrow(_deal(buckets), "bucket int, keys binary, ids binary")
-    return dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, low bigint")
+    """(g, id): sets that share a key.
+
+    A set of which m keys at least agree with any linked one leaves its m - 1
+    largest groups. The smallest group of two linked sets survives on both
+    sides: m - 1 others that they share are larger. So very common pieces,
+    which many unrelated sets share, bring no pairs, and no link is lost."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.select("text").mapInArrow(_deal(2 * parts), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
+    met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, slot smallint, size bigint").checkpoint()
+    large = F.col("size") >= LARGE
+    place = F.row_number().over(Window.partitionBy("id", "slot").orderBy(F.desc("size"), "g"))
+    rest = met.where(large).withColumn("place", place).where(F.col("place") >= F.floor(F.col("slot") / 2))
+    return met.where(~large).select("g", "id").union(rest.select("g", "id"))
 
 
 def _pack(batches):
@@ -274,21 +297,36 @@ def _verify(batches):
         yield pa.record_batch([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
 
+def _side(sets: DataFrame, c: str) -> DataFrame:
+    return sets.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("doc_id").alias(f"d{c}"), *[F.col(f"k{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)])
+
+
+def _within_bound():
+    """Sizes and sketches allow the sets a and b to be linked."""
+    far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    near = far * (100 + PERCENT) <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
+    return near & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are linked, by sketch bound and exact
     intersection. Only one document per set involved is shingled again."""
-    side = lambda c: sets.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("doc_id").alias(f"d{c}"), *[F.col(f"k{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)])
-    far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    size, most = F.col("na") + F.col("nb"), 100 - PERCENT
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where((far * (100 + PERCENT) <= most * size) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT))
+    near = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_within_bound())
     near = near.select("a", "b", "da", "db").checkpoint()
     want = near.select(F.col("a").alias("want"), F.col("da").alias("doc_id")).union(near.select("b", "db")).distinct()
-    packed = docs.select("doc_id", "text").join(want, "doc_id").select("want", "text").mapInArrow(_pack, "id bigint, packed binary")
+    packed = docs.select("doc_id", "text").join(if_small(want), "doc_id").select("want", "text").mapInArrow(_pack, "id bigint, packed binary")
     packed = packed.groupBy("id").agg(F.first("packed").alias("packed")) if _repeats(docs) else packed
     both = near.select("a", "b").join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
 
 
+def if_small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``ids`` (a few numbers per row) marked for broadcast when counted to be
+    within ``limit`` rows; beyond it the join shuffles."""
+    ids = ids.checkpoint()
+    return F.broadcast(ids) if ids.count() <= limit else ids
+
+
 def _repeats(docs: DataFrame) -> bool:
     """Whether an id occurs twice, so that a set could come from two rows."""
     return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
@@ -312,22 +350,41 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, root) after adding ``links``: only links between components are
+    walked, as edges between their roots."""
+    if roots is None:
+        return components(links).checkpoint()
+    side = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
+    between = links.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
+    new = components(between).checkpoint()
+    moved = roots.join(new.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    return moved.union(new.join(roots.select("id"), "id", "left_anti").select("id", "root")).checkpoint()
+
+
 def join_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``docs``."""
     rows = digests(docs).checkpoint()
     sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min("doc_id").alias("doc_id"))
     named = docs.where("doc_id is not null")
-    groups = key_groups(named).checkpoint()
-    first = groups.where("id <> low").groupBy("id").agg(F.min("low").alias("a")).select("a", F.col("id").alias("b"))
-    links = verified(first, sets, named).checkpoint()
-    roots = components(links)
-    at = groups.join(roots, "id", "left").select("g", "id", F.coalesce("root", "id").alias("root"))
-    mixed_groups = at.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("g")
-    at = at.join(mixed_groups, "g")
-    rest = at.select("g", F.col("id").alias("a"), F.col("root").alias("ra")).join(at.select("g", F.col("id").alias("b"), F.col("root").alias("rb")), "g")
-    rest = rest.where("a < b and ra <> rb").select("a", "b").distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.union(verified(rest, sets, named)).checkpoint()
-    roots = components(links)
+    groups = key_groups(named).distinct().checkpoint()
+    roots, at = None, groups.withColumn("root", F.col("id"))
+    for meet_all in (False, True):
+        # First the smallest of all leaders; then, in every group, a leader of the group's own: as many pairs as group rows.
+        order = F.xxhash64("id", "g") if meet_all else F.col("id")
+        lead = at.groupBy("g").agg(F.min(F.struct(order.alias("order"), "id", "root")).alias("lead"))
+        stars = at.join(lead, "g").where("lead.root <> root").select("id", F.col("lead.id").alias("other"))
+        if not meet_all:
+            stars = stars.groupBy("id").agg(F.min("other").alias("other"))
+        stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        roots = merged(roots, verified(stars, sets, named))
+        at = groups.join(roots, "id", "left").select("g", "id", F.coalesce("root", "id").alias("root"))
+    open_groups = at.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("g")
+    at = at.join(open_groups, "g").checkpoint()
+    left = at.select("g", F.col("id").alias("a"), F.col("root").alias("ra")).join(_side(sets, "a").drop("da"), "a")
+    right = at.select("g", F.col("id").alias("b"), F.col("root").alias("rb")).join(_side(sets, "b").drop("db"), "b")
+    rest = left.join(right, (left["g"] == right["g"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within_bound()).select("a", "b").distinct()
+    roots = merged(roots, verified(rest, sets, named))
     rows = rows.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rows.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "root", "left")
@@ -339,7 +396,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     the smallest doc_id stays, and one of several equal (doc_id, text) rows.
     Rows without an id stay."""
     classes = join_classes(docs).where("doc_id is not null").checkpoint()
-    drop = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    drop = if_small(classes.where("doc_id <> component_id").select("doc_id").distinct())
     out = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
     twice = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():
