@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frametide.session import checkpoint_dir
+
 VOCAB_LITERAL_LIMIT = 10_000
 
 
@@ -78,6 +80,9 @@ def dense_index(values: DataFrame, order_cols: Sequence[str], out: str = "code")
     local = ordered.withColumn(
         "_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_slice").cast("long"), 33)
     )
+    # Slices come from sampled bounds: fix them once, before both uses.
+    checkpoint_dir(values.sparkSession)
+    local = local.checkpoint()
     sizes = local.groupBy("_slice").agg(F.count("*").alias("_n"))
     offsets = sizes.withColumn(
         "_offset",

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frametide.session import checkpoint_dir
 from frametide.functions.numeric import ensure_numeric
 from frametide.schemas import LAG_NUMERIC_INPUTS, PLAYER_KEYS
 
@@ -122,6 +123,9 @@ def _split_hot_lags(hot: DataFrame, keys, order, lags, x, y, frame) -> DataFrame
         F.count(F.lit(1)).over(segment).alias("_seg_n"),
         *[c.alias(n) for n, c in shifts.items()],
     )
+    # Slices come from sampled bounds: both branches must read the same ones.
+    checkpoint_dir(hot.sparkSession)
+    inner = inner.checkpoint()
     body = inner.where(F.col("_pos") > depth).select(
         *sliced.columns, "_pos", *shifts, *[c.alias(n) for n, c in _delta_exprs(lags, x, y, frame).items()]
     )

@@ -100,7 +100,9 @@ def sample_exact_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -
 
 def split_threshold(fraction: float) -> str:
     """4-hex-digit cut point: md5 prefix below it <=> the row is in the
-    fraction (0.15 -> '2666', i.e. 9830/65536)."""
+    fraction (0.15 -> '2666', i.e. 9830/65536); 'g' lies above every digit."""
+    if fraction >= 1:
+        return "g"
     return format(int(fraction * 65536), "04x")
 
 

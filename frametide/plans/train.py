@@ -39,6 +39,10 @@ POSITION_COLUMN = "player_position"
 HOT_GROUP_ROWS = 2_000_000
 
 
+# Added to the sampling seed for the train/validation split.
+SPLIT_SEED_STEP = 1_000_003
+
+
 def uses_lag_features(feature_columns: Sequence[str]) -> bool:
     names = {n for lag in range(1, 64) for n in lag_column_names(lag)}
     return any(c in names for c in feature_columns)
@@ -150,7 +154,11 @@ def train(
     # The sampled, split rows are materialised once in the shared checkpoint
     # folder: fitting and evaluation read them without re-running the join
     # and the sample, and a lost executor does not trigger that either.
-    split = M.durable(train_val_split(sampled, sample_keys, test_size=test_size, seed=seed))
+    # The split hashes with a seed of its own: the sample is the low end of
+    # its hash order, so the same hash would put all of it on one side. The
+    # exact sample ends in one task; fitting wants it spread out again.
+    spread = sampled.repartition(max(1, inputs.sparkSession.sparkContext.defaultParallelism))
+    split = M.durable(train_val_split(spread, sample_keys, test_size=test_size, seed=seed + SPLIT_SEED_STEP))
     if weights is None and set(families) == set(M.DEFAULT_WEIGHTS):
         weights = M.DEFAULT_WEIGHTS
     bundle = M.fit_models(split, families, feature_columns, "is_val", weights, vocab, max_iter)

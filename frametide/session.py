@@ -64,13 +64,19 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset - as in local tests - fall back to ``fallback`` or a folder under the
-    system temp directory. The SparkContext checkpoint dir is aligned with it
+    Read from ``spark.checkpoint.dir`` (the cluster names it) or the folder
+    already set on the SparkContext. Only a local master may fall back to
+    ``fallback`` or a folder under the system temp directory; a cluster
+    without a named folder is an error. The SparkContext checkpoint dir is aligned with it
     so ``DataFrame.checkpoint()`` and Spark ML tree checkpointing use it too.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        path = spark.sparkContext.getCheckpointDir()
+    if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "frametide-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -35,10 +35,12 @@ def scan_csv_glob(
     hidden metadata column - the key for per-file attributes such as week.
     """
     try:
-        df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(pattern)
-        if with_source:
-            df = df.withColumn("source_file", F.col("_metadata.file_path"))
-        return df
+        # Columns bind by header name; a file whose header differs from the
+        # first one's fails instead of being read by position.
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
+        have = set(raw.columns)
+        cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return raw.select(*cols, *([F.col("_metadata.file_path").alias("source_file")] if with_source else []))
     except AnalysisException as err:
         if not _missing_path(err):
             raise
@@ -85,7 +87,12 @@ def scan_gateway(
 ) -> tuple[DataFrame, DataFrame]:
     """(test, test_input); fails when the row id column is absent."""
     test = scan_test(spark, base_dir, test_schema)
-    check_required_column(test, id_col)
+    path = f"{base_dir.rstrip('/')}/test.csv"
+    try:
+        check_required_column(spark.read.option("header", True).csv(path), id_col)
+    except AnalysisException as err:
+        if not _missing_path(err):
+            raise
     return test, scan_test_input(spark, base_dir, input_schema)
 
 
