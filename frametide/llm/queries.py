@@ -11,6 +11,7 @@ from frametide.llm.registry import llm_query
 
 @llm_query("op4_quality_rules")
 def op4_quality_rules(spark, sf_dir):
+    """Base counts and the decision list's verdict for every document."""
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
     out = quality_rules.judge(docs.select("doc_id", "text"), rules)
@@ -20,6 +21,7 @@ def op4_quality_rules(spark, sf_dir):
 
 @llm_query("op5_mixing")
 def op5_mixing(spark, sf_dir):
+    """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     m = F.col("mix")
     out = mixing.draw(docs, mixing.plan_mix(docs))
@@ -28,33 +30,39 @@ def op5_mixing(spark, sf_dir):
 
 @llm_query("op7_benchmark_decontamination")
 def op7_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item within its error budget."""
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @llm_query("op8_pii")
 def op8_pii(spark, sf_dir):
+    """Personal data of every document: base spans and discovered ones."""
     return pii.report(pii.extract(table(spark, sf_dir, "documents")))
 
 
 @llm_query("op9_secret_scans")
 def op9_secret_scans(spark, sf_dir):
+    """Secrets of every document: base spans and inferred ones."""
     found = secrets.scan(table(spark, sf_dir, "documents")).checkpoint()
     return secrets.report(found, secrets.infer(found))
 
 
 @llm_query("op10_ngram_jaccard")
 def op10_ngram_jaccard(spark, sf_dir):
+    """Near-duplicate class of every document."""
     return parity_join.join_classes(table(spark, sf_dir, "documents"))
 
 
 @llm_query("op1_language_id")
 def op1_language_id(spark, sf_dir):
+    """Language of every document, learned from labelled documents that aren't held out."""
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.fit(docs))
 
 
 @llm_query("op2_chat_formatting")
 def op2_chat_formatting(spark, sf_dir):
+    """Digests read back from the formatted conversations, conversation -1 included."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
@@ -63,10 +71,12 @@ def op2_chat_formatting(spark, sf_dir):
 
 @llm_query("op6_quality_crf")
 def op6_quality_crf(spark, sf_dir):
+    """Quality score of every document by the line field."""
     docs = table(spark, sf_dir, "documents")
     return quality_crf.predict(docs, quality_crf.fit(docs, table(spark, sf_dir, "labels")))
 
 
 @llm_query("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf_dir):
+    """What is left of every document without repeated 100-byte strings."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
