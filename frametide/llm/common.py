@@ -67,12 +67,13 @@ def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]] if len(offsets) else raw, offsets - (offsets[0] if len(offsets) else 0)
 
 
-def passes(offsets: np.ndarray, limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes, or of one longer row."""
+def passes(offsets: np.ndarray, limit: int = PASS_BYTES, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes (or of one longer row) and ``most`` rows."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
-        yield row, min(end, rows)
+        end = min(end, rows, row + (most or rows))
+        yield row, end
         row = end
 
 

@@ -30,6 +30,8 @@ FIT_PER_LANG = 400
 #: A text is rejected beyond this quantile of its centroid's members' distances, times SLACK.
 QUANTILE, SLACK = 0.99, 1.2
 UND = "und"
+#: Rows whose DIM counts a task holds at once.
+PASS_ROWS = 512
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -101,7 +103,7 @@ def _vectors(batches):
     for batch in batches:
         raw, offsets = flat_text(batch.column("text"))
         packed = []
-        for a, b in passes(offsets):
+        for a, b in passes(offsets, most=PASS_ROWS):
             counts = gram_counts(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             packed += [r.astype(np.int32).tobytes() for r in counts]
         yield pa.record_batch([batch.column("lang"), pa.array(packed, pa.binary())], ["lang", "counts"])
@@ -153,7 +155,7 @@ def _predict(model: Model | None):
         for batch in batches:
             raw, offsets = flat_text(batch.column("text"))
             lang, score, rejected = [], [], []
-            for a, b in passes(offsets):
+            for a, b in passes(offsets, most=PASS_ROWS):
                 part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 if model is not None:
                     cos = weighted(gram_counts(part, at), model.idf) @ model.centroids.T
