@@ -17,6 +17,13 @@ def _sq(pred: str, truth: str) -> Column:
     return d * d
 
 
+def mse(pred: str, truth: str) -> Column:
+    """Mean squared error over all rows; null when any row lacks its
+    prediction or truth (``avg`` alone would leave such rows out unseen)."""
+    err = _sq(pred, truth)
+    return F.when(F.count(err) == F.count(F.lit(1)), F.avg(err))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A1: (table, n_rows) for each named DataFrame, as one union."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows") for name, df in tables.items()]
@@ -27,8 +34,9 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def rmse_xy(df: DataFrame, px: str, py: str, tx: str, ty: str) -> DataFrame:
-    """A2 + A3: RMSE per axis and the combined sqrt((mse_x + mse_y) / 2)."""
-    means = df.agg(F.avg(_sq(px, tx)).alias("mse_x"), F.avg(_sq(py, ty)).alias("mse_y"))
+    """A2 + A3: RMSE per axis and the combined sqrt((mse_x + mse_y) / 2);
+    null where a prediction is missing."""
+    means = df.agg(mse(px, tx).alias("mse_x"), mse(py, ty).alias("mse_y"))
     return means.select(
         F.sqrt("mse_x").alias("rmse_x"),
         F.sqrt("mse_y").alias("rmse_y"),
@@ -40,10 +48,11 @@ def rmse_by_model(
     df: DataFrame, models: Mapping[str, tuple[str, str]], tx: str, ty: str, combined: str | None = None
 ) -> DataFrame:
     """A4: ``<model>_rmse_x`` / ``<model>_rmse_y`` for every model (name ->
-    (pred_x, pred_y)) plus ``combined_rmse`` of model ``combined``, in one pass."""
+    (pred_x, pred_y)) plus ``combined_rmse`` of model ``combined``, in one pass;
+    null where a prediction is missing."""
     aggs = []
     for name, (px, py) in models.items():
-        aggs += [F.avg(_sq(px, tx)).alias(f"{name}_mse_x"), F.avg(_sq(py, ty)).alias(f"{name}_mse_y")]
+        aggs += [mse(px, tx).alias(f"{name}_mse_x"), mse(py, ty).alias(f"{name}_mse_y")]
     means = df.agg(*aggs)
     cols = []
     for name in models:
@@ -66,12 +75,12 @@ def is_finite(c: Column) -> Column:
 
 
 def finite_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column, any NaN and all finite (null counts as not finite)."""
+    """Per column, any NaN and all finite; a missing value is a NaN."""
     aggs = []
     for c in columns:
         col = F.col(c)
         aggs += [
-            F.coalesce(F.bool_or(F.isnan(col)), F.lit(False)).alias(f"{c}_any_nan"),
+            F.coalesce(F.bool_or(col.isNull() | F.isnan(col)), F.lit(False)).alias(f"{c}_any_nan"),
             F.coalesce(F.every(F.coalesce(is_finite(col), F.lit(False))), F.lit(True)).alias(f"{c}_all_finite"),
         ]
     return df.agg(*aggs)

@@ -85,7 +85,7 @@ class ModelBundle:
         return {
             "timestamp": version,
             "feature_columns": list(self.feature_columns),
-            "player_position_values": list(self.vocabulary or []),
+            "player_position_values": None if self.vocabulary is None else list(self.vocabulary),
             "ensemble_weights": dict(self.weights),
             "families": list(self.families),
             "model_files": {"pipeline": "model"},
@@ -122,7 +122,7 @@ def build_pipeline(
             p = dict(params.get(axis, params)) if axis in params else dict(params)
             p = {k: v for k, v in p.items() if k not in ("x", "y")}
             kind = p.get("kind", "gbt")
-            stages.append(_regressor(kind, label, f"{fam}_{axis}", p, validation if kind == "gbt" else None))
+            stages.append(_regressor(kind, label, f"{fam}_{axis}", p, validation if "validationTol" in p else None))
     return Pipeline(stages=stages)
 
 
@@ -160,8 +160,9 @@ def fit_models(
     The feature vector is assembled once and only the columns the learners
     read are checkpointed. The regressors are independent, so they are
     fitted concurrently (one driver thread each, i.e. concurrent Spark jobs
-    sharing the executors). Boosted learners get the validation flag for
-    early stopping; forests are fitted on the training rows only."""
+    sharing the executors). Families that state a ``validationTol`` get the
+    validation flag for early stopping; the others run all their rounds, or
+    trees, on the training rows only."""
     fams = _with_max_iter(families, max_iter)
     labels = labels or {"x": "x_target", "y": "y_target"}
     use_val = bool(validation) and validation in train.columns
@@ -172,15 +173,16 @@ def fit_models(
     training_rows = data.where(~F.col(validation)) if use_val else data
 
     def fit_one(est):
-        # Boosted learners split off their validation rows themselves.
-        return est.fit(training_rows if isinstance(est, RandomForestRegressor) else data)
+        # A learner that stops early splits off its validation rows itself.
+        stops = est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
+        return est.fit(data if stops else training_rows)
 
     with ThreadPoolExecutor(max_workers=max(1, len(estimators))) as pool:
         fitted = list(pool.map(fit_one, estimators))
     model = PipelineModel(stages=[assembler, *fitted])
     w = dict(weights) if weights is not None else {k: 1.0 / len(fams) for k in fams}
     info = {f"{s.getPredictionCol()}_trees": len(s.trees) for s in fitted if hasattr(s, "trees")}
-    return ModelBundle(model, list(feature_columns), list(fams), w, list(vocabulary) if vocabulary else None, info=info)
+    return ModelBundle(model, list(feature_columns), list(fams), w, None if vocabulary is None else list(vocabulary), info=info)
 
 
 def score(bundle: ModelBundle, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -196,19 +198,19 @@ def score(bundle: ModelBundle, features: DataFrame, keep: Sequence[str] = ()) ->
 
 def evaluate(bundle: ModelBundle, val: DataFrame, tx: str = "x_target", ty: str = "y_target") -> dict[str, float]:
     """M5: per-family and blended RMSE (A4), blended prediction range (A5)
-    and finiteness (A6) on validation rows - a single aggregation job."""
+    and finiteness (A6) on validation rows - a single aggregation job. A
+    missing prediction makes its RMSE NaN."""
     scored = score(bundle, val, keep=[tx, ty])
     models = {f: (f"{f}_x", f"{f}_y") for f in bundle.families}
     models["ensemble"] = ("x", "y")
     aggs = []
     for name, (px, py) in models.items():
         for axis, pred, truth in (("x", px, tx), ("y", py, ty)):
-            d = F.col(pred) - F.col(truth)
-            aggs.append(F.avg(d * d).alias(f"{name}_mse_{axis}"))
+            aggs.append(metrics.mse(pred, truth).alias(f"{name}_mse_{axis}"))
     for c in ("x", "y"):
         aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.avg(c).alias(f"{c}_mean")]
         aggs += [
-            F.coalesce(F.bool_or(F.isnan(c)), F.lit(False)).alias(f"{c}_any_nan"),
+            F.coalesce(F.bool_or(F.col(c).isNull() | F.isnan(c)), F.lit(False)).alias(f"{c}_any_nan"),
             F.coalesce(F.every(F.coalesce(metrics.is_finite(F.col(c)), F.lit(False))), F.lit(True)).alias(f"{c}_all_finite"),
         ]
     aggs.append(F.count(F.lit(1)).alias("n_val"))
@@ -249,7 +251,7 @@ def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
         meta["feature_columns"],
         meta["families"],
         meta["ensemble_weights"],
-        meta.get("player_position_values") or None,
+        meta.get("player_position_values"),
         meta.get("metrics", {}),
         meta.get("model_info", {}),
     )

@@ -8,7 +8,9 @@ per-batch loop and no collect of data); schema checks run at plan time on
 from __future__ import annotations
 
 import enum
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +44,39 @@ Y_BOUNDS = (-10.0, 100.0)
 
 
 # ----------------------------------------------------------- plan-time checks
+@dataclass(frozen=True)
+class SchemaDiff:
+    """How a frame's columns differ from the wanted numeric ones."""
+
+    missing: tuple[str, ...]
+    unexpected: tuple[str, ...]
+    repeated: tuple[str, ...]
+    not_numeric: tuple[str, ...]
+
+    @property
+    def names_differ(self) -> bool:
+        return bool(self.missing or self.unexpected or self.repeated)
+
+    def __str__(self) -> str:
+        found = ((k.replace("_", " "), v) for k, v in vars(self).items() if v)
+        return "; ".join(f"{k}: {', '.join(v)}" for k, v in found) or "no difference"
+
+
+def schema_diff(df: DataFrame, wanted: Sequence[str], also_allowed: Sequence[str] = ()) -> SchemaDiff:
+    seen = Counter(df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return SchemaDiff(
+        missing=tuple(c for c in wanted if c not in seen),
+        unexpected=tuple(c for c in seen if c not in wanted and c not in also_allowed),
+        repeated=tuple(c for c, n in seen.items() if n > 1),
+        not_numeric=tuple(c for c in wanted if c in types and not isinstance(types[c], T.NumericType)),
+    )
+
+
 def check_required_column(df: DataFrame, column: str = ROW_ID) -> None:
     """V3: the row id column must be present in the test rows."""
     if column not in df.columns:
-        raise ValidationError(ErrorType.GATEWAY_RAISED_EXCEPTION, f"Row ID column '{column}' not found in test files.")
+        raise ValidationError(ErrorType.GATEWAY_RAISED_EXCEPTION, f"test rows without a {column!r} column: {df.columns}")
 
 
 def check_columns(
@@ -54,35 +85,29 @@ def check_columns(
     """V2 + U4: prediction columns are exactly ``expected`` (no id column, no
     duplicates); returns the predictions reordered to ``expected``
     (plus ``id_col`` first when given, which is then allowed)."""
-    got = [c for c in predictions.columns if c != id_col]
-    if id_col is None and ROW_ID in got:
-        raise ValidationError(ErrorType.INVALID_SUBMISSION, f"Prediction must not include '{ROW_ID}'.")
-    if set(got) != set(expected):
-        raise ValidationError(ErrorType.INVALID_SUBMISSION, f"Prediction columns must match {list(expected)}, but got {got}.")
-    if len(got) != len(expected):
-        raise ValidationError(ErrorType.INVALID_SUBMISSION, "Prediction has duplicate columns or wrong count.")
-    return predictions.select(*([id_col] if id_col else []), *expected)
+    extra = [id_col] if id_col else []
+    diff = schema_diff(predictions, expected, extra)
+    if diff.names_differ:
+        raise ValidationError(ErrorType.INVALID_SUBMISSION, f"prediction columns: {diff}")
+    return predictions.select(*extra, *expected)
 
 
 def check_numeric(predictions: DataFrame, columns: Sequence[str] = PREDICTION_COLUMNS) -> None:
     """V4: prediction columns must have numeric types."""
-    for c in columns:
-        if not isinstance(predictions.schema[c].dataType, T.NumericType):
-            raise ValidationError(ErrorType.INVALID_SUBMISSION, f"Column '{c}' must be numeric.")
+    diff = schema_diff(predictions, columns, predictions.columns)
+    if diff.not_numeric:
+        raise ValidationError(ErrorType.INVALID_SUBMISSION, f"prediction types: {diff}")
 
 
 def check_union_schemas(frames: Sequence[DataFrame]) -> None:
-    """U2 pre-check: same column count and names, types that widen."""
-    first = frames[0]
-    for other in frames[1:]:
-        if len(other.columns) != len(first.columns):
-            raise ValidationError(ErrorType.INVALID_SUBMISSION, "Inconsistent prediction column counts")
-        for a, b in zip(first.schema.fields, other.schema.fields):
-            if a.name != b.name:
-                raise ValidationError(ErrorType.INVALID_SUBMISSION, "Inconsistent prediction column counts")
-            numeric_pair = isinstance(a.dataType, T.NumericType) and isinstance(b.dataType, T.NumericType)
-            if a.dataType != b.dataType and not numeric_pair:
-                raise ValidationError(ErrorType.INVALID_SUBMISSION, "Inconsistent prediction types")
+    """U2 pre-check: same column names in the same order, types that widen."""
+    kinds = [
+        [(f.name, "number" if isinstance(f.dataType, T.NumericType) else f.dataType.simpleString()) for f in df.schema.fields]
+        for df in frames
+    ]
+    for i, other in enumerate(kinds[1:], 1):
+        if other != kinds[0]:
+            raise ValidationError(ErrorType.INVALID_SUBMISSION, f"batch {i} has {other}, the first batch {kinds[0]}")
 
 
 def concat_batches(frames: Sequence[DataFrame]) -> DataFrame:
@@ -217,42 +242,24 @@ def split_files_report(pairing: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------- metadata check
+# Keys that a model metadata record must hold.
 REQUIRED_METADATA_KEYS = ("feature_columns", "ensemble_weights", "model_files")
 
 
-def check_metadata(meta: Mapping, min_features: int = 5, weight_keys: Sequence[str] | None = None) -> list[str]:
-    """V9: problems found in a model metadata record (empty list = valid)."""
-    problems = [f"missing key: {k}" for k in REQUIRED_METADATA_KEYS if k not in meta]
-    feats = meta.get("feature_columns") or []
-    if not isinstance(feats, list) or not feats:
-        problems.append("feature_columns must be a non-empty list")
-    else:
-        if len(set(feats)) != len(feats):
-            problems.append("duplicate features")
-        if not all(isinstance(f, str) for f in feats):
-            problems.append("features must be strings")
-        if len(feats) < min_features:
-            problems.append(f"too few features: {len(feats)}")
-    weights = meta.get("ensemble_weights") or {}
-    for k in weight_keys or list(weights):
-        if k not in weights:
-            problems.append(f"missing weight: {k}")
-        elif not weights[k] > 0:
-            problems.append(f"weight {k} must be positive")
-    if weights and abs(sum(weights.values()) - 1.0) >= 0.01:
-        problems.append(f"weights sum to {sum(weights.values())}, expected ~1.0")
-    return problems
-
-
-def metadata_report(meta_df: DataFrame, min_features: int = 5) -> DataFrame:
+def metadata_report(meta_df: DataFrame, min_features: int = 5, required: Sequence[str] = REQUIRED_METADATA_KEYS) -> DataFrame:
     """V9 as predicates over metadata rows (``feature_columns`` array,
-    ``weights`` map<string,double>), evaluated by Spark."""
+    ``weights`` map<string,double>), evaluated by Spark. A required key that
+    is no column, or null, clears ``required_keys``; a missing value fails
+    the predicates on it."""
+    present = F.lit(True)
+    for key in required:
+        present = present & (F.col(key).isNotNull() if key in meta_df.columns else F.lit(False))
     feats = F.col("feature_columns")
     wsum = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda acc, v: acc + v)
-    return meta_df.select(
-        "*",
-        (F.size(F.array_distinct(feats)) == F.size(feats)).alias("features_unique"),
-        (F.size(feats) >= min_features).alias("enough_features"),
-        F.forall(F.map_values("weights"), lambda v: v > 0).alias("weights_positive"),
-        (F.abs(wsum - 1.0) < 0.01).alias("weights_sum_to_one"),
-    )
+    flags = {
+        "features_unique": F.size(F.array_distinct(feats)) == F.size(feats),
+        "enough_features": F.size(feats) >= min_features,
+        "weights_positive": F.forall(F.map_values("weights"), lambda v: v > 0),
+        "weights_sum_to_one": F.abs(wsum - 1.0) < 0.01,
+    }
+    return meta_df.select("*", present.alias("required_keys"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in flags.items()])

@@ -263,8 +263,7 @@ def row_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rmse_xy",
     with_views("frames_events", "labels_events")
-    + f", train AS ({TRAIN_SQL}), m AS (SELECT avg((x - x_target) * (x - x_target)) AS mx, "
-    "avg((y - y_target) * (y - y_target)) AS my FROM train) "
+    + f", train AS ({TRAIN_SQL}), m AS (SELECT {q.mse('x', 'x_target')} AS mx, {q.mse('y', 'y_target')} AS my FROM train) "
     f"SELECT {q.r6('sqrt(mx)')} AS rmse_x, {q.r6('sqrt(my)')} AS rmse_y, "
     f"{q.r6('sqrt((mx + my) / 2)')} AS combined_rmse FROM m",
 )
@@ -275,7 +274,7 @@ def rmse_xy_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BY_MODEL_SQL_COLS = ", ".join(
-    f"{q.r6(f'sqrt(avg(({m}_{a} - {a}_target) * ({m}_{a} - {a}_target)))')} AS {n}_rmse_{a}"
+    f"{q.r6(f'sqrt({q.mse(f'{m}_{a}', f'{a}_target')})')} AS {n}_rmse_{a}"
     for m, n in (("a", "a"), ("b", "b"), ("ens", "ensemble"))
     for a in ("x", "y")
 )
@@ -285,7 +284,7 @@ _BY_MODEL_SQL_COLS = ", ".join(
     "rmse_by_model",
     with_views("frames_events", "labels_events")
     + f", train AS ({TRAIN_SQL}), scored AS ({SCORED_SQL}) SELECT {_BY_MODEL_SQL_COLS}, "
-    f"{q.r6('sqrt((avg((ens_x - x_target) * (ens_x - x_target)) + avg((ens_y - y_target) * (ens_y - y_target))) / 2)')} "
+    f"{q.r6('sqrt(((' + q.mse('ens_x', 'x_target') + ') + (' + q.mse('ens_y', 'y_target') + ')) / 2)')} "
     "AS combined_rmse FROM scored",
 )
 def rmse_by_model_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,14 +312,14 @@ def prediction_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "finite_check",
     with_views("test_events", "test_input_events")
-    + f", p AS ({PERSIST_SQL}) SELECT coalesce(bool_or(isnan(x)), false) AS x_any_nan, "
+    + f", p AS ({PERSIST_SQL}) SELECT coalesce(bool_or(x IS NULL OR isnan(x)), false) AS x_any_nan, "
     "coalesce(bool_and(coalesce(isfinite(x), false)), true) AS x_all_finite, "
-    "coalesce(bool_or(isnan(y)), false) AS y_any_nan, "
+    "coalesce(bool_or(y IS NULL OR isnan(y)), false) AS y_any_nan, "
     "coalesce(bool_and(coalesce(isfinite(y), false)), true) AS y_all_finite FROM p",
 )
 def finite_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NaN and finiteness flags of the persistence predictions (rows
-    without an input frame have null predictions: not finite)."""
+    without an input frame have null predictions, which count as NaN)."""
     return metrics.finite_check(_persist(spark, sf_dir), ["x", "y"])
 
 

@@ -42,7 +42,7 @@ def score_test(
     joined = join_test_features(test, test_input, keys)
     if uses_lag_features(bundle.feature_columns):
         joined = lag_stage(joined, test, [id_col], hot_group_rows)
-    feats = transform_for_inference(joined, bundle.feature_columns, bundle.vocabulary, keep=[id_col])
+    feats = transform_for_inference(joined, bundle.feature_columns, bundle.vocabulary or [], keep=[id_col])
     return M.score(bundle, feats, keep=[id_col]).select(id_col, "x", "y")
 
 
@@ -50,7 +50,7 @@ def score_rows(rows: DataFrame, bundle: M.ModelBundle, id_col: str = ROW_ID) ->
     """T3 core: score request rows directly (no join), keeping ``id_col``
     when the rows carry one."""
     keep = [id_col] if id_col in rows.columns else []
-    feats = transform_for_inference(rows, bundle.feature_columns, bundle.vocabulary, keep=keep)
+    feats = transform_for_inference(rows, bundle.feature_columns, bundle.vocabulary or [], keep=keep)
     return M.score(bundle, feats, keep=keep).select(*keep, "x", "y")
 
 
@@ -105,9 +105,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         preds = M.durable(score_test(test, test_input, M.load_bundle(spark, args.model)))
         validate_submission(preds, test)
         write_submission_parquet(preds, args.output)
-    except ValidationError as exc:
+    except Exception as exc:  # any failure leaves a status record, then the exit code tells
         error = exc
     write_result_json(spark, args.result, error)
+    if error is not None:
+        raise SystemExit(1) from error
 
 
 if __name__ == "__main__":

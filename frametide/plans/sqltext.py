@@ -17,6 +17,12 @@ def r6(expr: str) -> str:
     return f"(round({expr}, 6) + {ZERO})"
 
 
+def mse(pred: str, truth: str) -> str:
+    """Mean squared error; null when a row lacks its prediction or truth."""
+    err = f"({pred} - {truth}) * ({pred} - {truth})"
+    return f"CASE WHEN count({err}) = count(*) THEN avg({err}) END"
+
+
 def lag_sql(
     source: str,
     lags: Sequence[int] = (1, 2, 3),

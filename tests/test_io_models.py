@@ -144,3 +144,37 @@ def test_row_local_predict(spark):
     got = {r["id"]: (r["x"], r["y"]) for r in out.collect()}
     exp = {r["id"]: (r["x"] + 1.0, r["y"] - 1.0) for r in rows.select("id", "x", "y").collect()}
     assert got == exp
+
+
+def _short(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"x": [1.0], "y": [1.0]})
+
+
+def _texts(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"x": ["1"] * len(pdf), "y": [1.0] * len(pdf)})
+
+
+def _with_id(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"id": range(len(pdf)), "x": [1.0] * len(pdf), "y": [1.0] * len(pdf)})
+
+
+def _missing(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"x": [float("nan")] * len(pdf), "y": [1.0] * len(pdf)})
+
+
+@pytest.mark.parametrize("fn", [_short, _texts, _with_id, _missing])
+def test_bad_answers_are_refused(fn):
+    from frametide.operators.udf import checked_values
+
+    rows = pd.DataFrame({"id": ["a", "b", "c"], "x": [1.0, 2.0, 3.0]})
+    with pytest.raises(ValueError):
+        checked_values(fn(rows), rows["id"], ["x", "y"], "id", False)
+
+
+def test_single_family_runs_all_rounds(spark):
+    from frametide.operators.features import prepare_features
+
+    rows = fx.frames_events(spark, SF_SMALL).withColumns({"x_target": F.col("x") * 0.9, "y_target": F.col("y") * 0.9, "is_val": F.col("row_id") % 7 == 0})
+    feats, cols = prepare_features(rows)
+    bundle = M.fit_models(feats, {"gbt": M.SINGLE_PARAMS}, cols, vocabulary=[], max_iter=6)
+    assert set(bundle.info.values()) == {6} and bundle.vocabulary == []

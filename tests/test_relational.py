@@ -82,8 +82,17 @@ def test_rmse_and_blend(spark):
     # Weights used as given, not normalised
     b = df.select(blend_weighted({"px": 0.6, "py": 0.6}).alias("b")).first()["b"]
     assert b == pytest.approx(0.6 * 1.0 + 0.6 * 2.0)
-    problems = validate.check_metadata({"feature_columns": list("abcde"), "ensemble_weights": {"a": 0.6, "b": 0.6}, "model_files": {}})
-    assert any("sum" in p for p in problems)
+    meta = spark.createDataFrame([(list("abcde"), {"a": 0.6, "b": 0.6})], "feature_columns array<string>, weights map<string,double>")
+    report = validate.metadata_report(meta).first()
+    assert report["features_unique"] and not report["weights_sum_to_one"] and not report["required_keys"]
+
+
+def test_missing_predictions_show(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 0.0, 0.0), (None, 1.0, 0.0, 0.0)], "px double, py double, tx double, ty double")
+    r = metrics.rmse_xy(df, "px", "py", "tx", "ty").first()
+    assert r["rmse_x"] is None and r["combined_rmse"] is None and r["rmse_y"] == 1.0
+    flags = metrics.finite_check(df, ["px", "py"]).first()
+    assert flags["px_any_nan"] and not flags["py_any_nan"]
 
 
 def test_alignment_three_predictions_for_four_ids(spark):
