@@ -78,6 +78,33 @@ def lag_features_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_lag_features(frames_lineitem(spark, sf_dir), lags=(2,), tiebreak="row_id", hot_group_rows=HOT_GROUP_ROWS)
 
 
+# Two thirds of the volume fixture's rows as one series; rows that tie on (frame, part, line, x, y) are equal.
+_HOT_SERIES = [
+    "CASE WHEN row_id % 3 <> 0 THEN 'hot' ELSE game_id END AS game_id",
+    "CASE WHEN row_id % 3 <> 0 THEN CAST(0 AS BIGINT) ELSE play_id END AS play_id",
+    "CASE WHEN row_id % 3 <> 0 THEN CAST(0 AS BIGINT) ELSE nfl_id END AS nfl_id",
+    "play_id AS line",
+    "frame_id",
+    "row_id",
+    "x",
+    "y",
+]
+HOT_SERIES_ROWS = 5_000
+
+
+@register(
+    "time_lag_features_hot",
+    with_views("frames_lineitem")
+    + f", hot_series AS (SELECT {', '.join(_HOT_SERIES)} FROM frames_lineitem) "
+    + q.lag_sql("hot_series", order="frame_id, row_id, line, x, y"),
+)
+def time_lag_features_hot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 where one series holds two thirds of all rows: cut into slices that
+    are lagged in parallel, equal to one window over the whole series."""
+    rows = frames_lineitem(spark, sf_dir).selectExpr(*_HOT_SERIES)
+    return time_lag_features(rows, tiebreak=["row_id", "line", "x", "y"], hot_group_rows=HOT_SERIES_ROWS, coerce=False)
+
+
 # =============================================================== scalar
 @register(
     "ensure_numeric",

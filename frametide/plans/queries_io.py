@@ -93,6 +93,15 @@ def scan_gateway_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return test
 
 
+@register("scan_reordered_csv", with_views("test_events") + "SELECT * FROM test_events")
+def scan_reordered_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose header names the columns in another order."""
+    t = test_events(spark, sf_dir)
+    path = staging_path(spark, "reordered")
+    t.select(*reversed(t.columns)).write.mode("overwrite").option("header", True).csv(path)
+    return files.scan_csv_glob(spark, path, t.schema)
+
+
 @register("scan_json_rows", with_views("frames_events") + "SELECT * FROM frames_events")
 def scan_json_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request rows as JSON lines, read with an explicit schema."""

@@ -10,6 +10,7 @@ from frametide.functions.keys import play_key, version_name_class, week_from_fil
 from frametide.operators import features as feat
 from frametide.operators import joins, metrics, sampling, validate
 from frametide.operators.blend import blend_weighted
+from frametide.operators.sampling import SPLIT_SEED_STEP
 from frametide.plans import sqltext as q
 from frametide.plans.fixtures import (
     frames_events,
@@ -426,6 +427,22 @@ def sample_exact_n_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_exact_n(frames_lineitem(spark, sf_dir), 5000, _LI_KEYS, seed=42)
 
 
+_SAMPLE_ROWS, _SPLIT_SEED = 20_000, 42 + SPLIT_SEED_STEP
+
+
+@register(
+    "sample_then_split",
+    with_views("frames_lineitem")
+    + f"SELECT {', '.join(_LI_KEYS)}, substr({q.md5_key_sql(_LI_KEYS, _SPLIT_SEED)}, 1, 4) < '2666' AS is_val FROM "
+    f"(SELECT * FROM frames_lineitem ORDER BY {q.md5_key_sql(_LI_KEYS, 42)}, {', '.join(_LI_KEYS)} LIMIT {_SAMPLE_ROWS}) AS s",
+)
+def sample_then_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 then O4 as the training job runs them: an exact sample, split by a
+    hash of its own, so the share doesn't depend on the sample's."""
+    rows = sampling.sample_exact_n(frames_lineitem(spark, sf_dir), _SAMPLE_ROWS, _LI_KEYS, seed=42)
+    return sampling.train_val_split(rows, _LI_KEYS, 0.15, _SPLIT_SEED).select(*_LI_KEYS, "is_val")
+
+
 @register(
     "train_val_split",
     with_views("frames_lineitem")

@@ -17,6 +17,7 @@ from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag
 from frametide.operators.joins import join_inputs_outputs
 from frametide.operators.sampling import (
     PREFIX_DIGITS,
+    SPLIT_SEED_STEP,
     VALIDATION_FRACTION,
     key_hash,
     sample_from_histogram,
@@ -39,10 +40,6 @@ POSITION_COLUMN = "player_position"
 HOT_GROUP_ROWS = 2_000_000
 
 
-# Added to the sampling seed for the train/validation split.
-SPLIT_SEED_STEP = 1_000_003
-
-
 def uses_lag_features(feature_columns: Sequence[str]) -> bool:
     names = {n for lag in range(1, 64) for n in lag_column_names(lag)}
     return any(c in names for c in feature_columns)
