@@ -18,10 +18,14 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 #: Bytes of text that a numpy pass handles at once; a longer text is a pass of its own.
 PASS_BYTES = 1 << 20
+#: Bytes of rows that Spark hands to a Python worker at once; the passes above bring nothing for more.
+BATCH_BYTES = 8 << 20
 
 
 def start(spark: SparkSession) -> SparkSession:
-    """Make the package importable on executors and the shared folder known."""
+    """Make the package importable on executors and the shared folder known,
+    and bound the batches that Python workers hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
     checkpoint_dir(spark)
     return spark
