@@ -35,17 +35,16 @@ SINGLE_PARAMS = {
 }
 # The two ensemble families. Family "a" is boosted with row and
 # feature subsampling (0.8 / 0.8), learning rate 0.05, depth 8, at least 100
-# rows per leaf, 500 rounds; family "b" is a bagged forest with the same
-# sampling, depth and leaf size. Spark stops boosting when a round improves
-# the validation error by less than validationTol (relative), so a small
-# tolerance stands in for round-count patience. maxMemoryInMB only sizes the
-# per-executor histogram buffers (fewer passes per tree level), not the model.
+# rows per leaf, 500 rounds, cut at the best validation round once 50 rounds
+# brought nothing better; family "b" is a bagged forest with the same
+# sampling, depth and leaf size. maxMemoryInMB only sizes the per-executor
+# histogram buffers (fewer passes per tree level), not the model.
 ENSEMBLE_PARAMS = {
     "a": {
         "kind": "gbt",
         "stepSize": 0.05,
         "maxIter": 500,
-        "validationTol": 1e-4,
+        "patience": 50,
         "maxDepth": 8,
         "minInstancesPerNode": 100,
         "subsamplingRate": 0.8,
@@ -80,6 +79,7 @@ class ModelBundle:
     vocabulary: list[str] | None = None
     metrics: dict[str, float] = field(default_factory=dict)
     info: dict = field(default_factory=dict)
+    params: dict = field(default_factory=dict)
 
     def metadata(self, version: str) -> dict:
         return {
@@ -91,18 +91,18 @@ class ModelBundle:
             "model_files": {"pipeline": "model"},
             "metrics": dict(self.metrics),
             "model_info": dict(self.info),
+            "best_params": dict(self.params),
         }
 
 
-def _regressor(kind: str, label: str, prediction: str, params: Mapping, validation: str | None):
-    p = {k: v for k, v in params.items() if k != "kind"}
+def _regressor(kind: str, label: str, prediction: str, params: Mapping):
+    p = {k: v for k, v in params.items() if k not in ("kind", "patience")}
     if kind == "forest":
         return RandomForestRegressor(
             featuresCol="features", labelCol=label, predictionCol=prediction, seed=SEED, **p
         )
-    extra = {"validationIndicatorCol": validation} if validation else {}
     return GBTRegressor(
-        featuresCol="features", labelCol=label, predictionCol=prediction, seed=SEED, checkpointInterval=10, **extra, **p
+        featuresCol="features", labelCol=label, predictionCol=prediction, seed=SEED, checkpointInterval=10, **p
     )
 
 
@@ -110,7 +110,6 @@ def build_pipeline(
     families: Mapping[str, Mapping],
     feature_columns: Sequence[str] = FEATURE_COLUMNS,
     labels: Mapping[str, str] | None = None,
-    validation: str | None = None,
 ) -> Pipeline:
     """Assembler + one regressor per (family, axis); predictions land in
     ``<family>_x`` / ``<family>_y``. ``families`` maps a family name to its
@@ -122,7 +121,7 @@ def build_pipeline(
             p = dict(params.get(axis, params)) if axis in params else dict(params)
             p = {k: v for k, v in p.items() if k not in ("x", "y")}
             kind = p.get("kind", "gbt")
-            stages.append(_regressor(kind, label, f"{fam}_{axis}", p, validation if "validationTol" in p else None))
+            stages.append(_regressor(kind, label, f"{fam}_{axis}", p))
     return Pipeline(stages=stages)
 
 
@@ -145,6 +144,39 @@ def _with_max_iter(families: Mapping[str, Mapping], max_iter: int | None) -> dic
     return fams
 
 
+# Rounds of the first try of a patient fit; every further try has twice as many.
+FIRST_ROUNDS = 100
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) of the lowest loss before ``patience`` rounds
+    passed without a lower one, and whether they did pass."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_patient(est: GBTRegressor, training_rows: DataFrame, validation_rows: DataFrame, patience: int):
+    """Boosting with round-count patience: the model holds the trees up to its
+    best validation round. Spark cannot go on from a fitted model, so the
+    number of rounds doubles until patience runs out or ``maxIter`` is
+    reached; equal seeds give equal first trees, and a last fit of the best
+    number of rounds cuts the model there."""
+    most = est.getMaxIter()
+    rounds = min(most, max(FIRST_ROUNDS, 2 * patience))
+    while True:
+        model = est.copy({est.maxIter: rounds}).fit(training_rows)
+        best, settled = best_round(model.evaluateEachIteration(validation_rows, "squared"), patience)
+        if settled or rounds == most:
+            break
+        rounds = min(most, 2 * rounds)
+    return model if best == rounds else est.copy({est.maxIter: best}).fit(training_rows)
+
+
 def fit_models(
     train: DataFrame,
     families: Mapping[str, Mapping],
@@ -160,29 +192,35 @@ def fit_models(
     The feature vector is assembled once and only the columns the learners
     read are checkpointed. The regressors are independent, so they are
     fitted concurrently (one driver thread each, i.e. concurrent Spark jobs
-    sharing the executors). Families that state a ``validationTol`` get the
-    validation flag for early stopping; the others run all their rounds, or
-    trees, on the training rows only."""
+    sharing the executors). All are fitted on the training rows only; those
+    that state a ``patience`` are cut at their best validation round (stored
+    as the number of trees in ``info``), the others run all their rounds."""
     fams = _with_max_iter(families, max_iter)
     labels = labels or {"x": "x_target", "y": "y_target"}
     use_val = bool(validation) and validation in train.columns
-    template = build_pipeline(fams, feature_columns, labels, validation if use_val else None)
+    template = build_pipeline(fams, feature_columns, labels)
     assembler, estimators = template.getStages()[0], template.getStages()[1:]
     cols = ["features", *labels.values(), *([validation] if use_val else [])]
     data = durable(assembler.transform(train).select(*cols))
     training_rows = data.where(~F.col(validation)) if use_val else data
 
+    validation_rows = data.where(F.col(validation)) if use_val else None
+    if use_val and validation_rows.isEmpty():
+        validation_rows = None
+
     def fit_one(est):
-        # A learner that stops early splits off its validation rows itself.
-        stops = est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
-        return est.fit(data if stops else training_rows)
+        family = est.getPredictionCol().rsplit("_", 1)[0]
+        patience = fams[family].get("patience")
+        if patience and validation_rows is not None:
+            return fit_patient(est, training_rows, validation_rows, patience)
+        return est.fit(training_rows)
 
     with ThreadPoolExecutor(max_workers=max(1, len(estimators))) as pool:
         fitted = list(pool.map(fit_one, estimators))
     model = PipelineModel(stages=[assembler, *fitted])
     w = dict(weights) if weights is not None else {k: 1.0 / len(fams) for k in fams}
     info = {f"{s.getPredictionCol()}_trees": len(s.trees) for s in fitted if hasattr(s, "trees")}
-    return ModelBundle(model, list(feature_columns), list(fams), w, None if vocabulary is None else list(vocabulary), info=info)
+    return ModelBundle(model, list(feature_columns), list(fams), w, None if vocabulary is None else list(vocabulary), info=info, params=fams)
 
 
 def score(bundle: ModelBundle, features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -254,4 +292,5 @@ def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
         meta.get("player_position_values"),
         meta.get("metrics", {}),
         meta.get("model_info", {}),
+        meta.get("best_params", {}),
     )

@@ -74,6 +74,7 @@ def test_saved_bundle_scores_identically(spark, trained):
     assert a == b and len(a) == test.count()
     meta = sinks.read_model_metadata(spark, f"{trained.path}/metadata")
     assert meta["player_position_values"] == loaded.vocabulary
+    assert meta["best_params"]["a"]["maxDepth"] == 8 and loaded.params == trained.bundle.params
 
 
 def test_per_play_scoring_equals_all_at_once(spark, trained):
@@ -178,3 +179,24 @@ def test_single_family_runs_all_rounds(spark):
     feats, cols = prepare_features(rows)
     bundle = M.fit_models(feats, {"gbt": M.SINGLE_PARAMS}, cols, vocabulary=[], max_iter=6)
     assert set(bundle.info.values()) == {6} and bundle.vocabulary == []
+
+
+def test_best_round_waits_for_patience():
+    assert M.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 2) == (2, True)
+    assert M.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 3) == (5, False)
+    assert M.best_round([1.0], 3) == (1, False)
+
+
+def test_patient_fit_stops_where_the_error_rises(spark, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    # The validation labels fit the first rounds only: learning on raises their error.
+    rows = spark.range(400, numPartitions=2).selectExpr("cast(id % 20 as double) as f", "id % 4 = 0 as is_val", "cast(id % 20 as double) as full")
+    rows = rows.selectExpr("f", "is_val", "case when is_val then 9.5 + (full - 9.5) * 0.5 else full end as label")
+    rows = VectorAssembler(inputCols=["f"], outputCol="features").transform(rows).cache()
+    est = GBTRegressor(labelCol="label", maxIter=12, maxDepth=2, stepSize=0.3, seed=1)
+    monkeypatch.setattr(M, "FIRST_ROUNDS", 4)
+    losses = est.fit(rows.where("not is_val")).evaluateEachIteration(rows.where("is_val"), "squared")
+    model = M.fit_patient(est, rows.where("not is_val"), rows.where("is_val"), 2)
+    assert len(model.trees) == M.best_round(losses, 2)[0] < 12
