@@ -19,7 +19,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Bytes of text that a numpy pass handles at once; a longer text is a pass of its own.
 PASS_BYTES = 1 << 20
 #: Bytes of rows that Spark hands to a Python worker at once; the passes above bring nothing for more.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def start(spark: SparkSession) -> SparkSession:

@@ -41,6 +41,8 @@ SPARE = 0.2
 LARGE = 16
 #: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
 BROADCAST_ROWS = 400_000
+#: Bytes of text hashed at once (some forty bytes of arrays each); a longer text is a pass of its own.
+SET_PASS_BYTES = 1 << 18
 _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
 _BYTE = random_table(101)
@@ -64,7 +66,7 @@ _CACHE: dict = {}
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_CACHE.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, SET_PASS_BYTES + 1)
         tables = _powers(_BASE, size), _powers(_INVERSE, size)
         if size > 1 << 24:
             return tables
@@ -176,7 +178,7 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 def _each_set(batch, column: str = "text") -> Iterator[np.ndarray]:
     raw, offsets = flat_text(batch.column(column))
-    for a, b in passes(offsets):
+    for a, b in passes(offsets, SET_PASS_BYTES):
         yield from shingle_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
 
 
