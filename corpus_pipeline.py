@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from frametide.llm import decontamination, mixing, parity_join, quality_rules, secrets
 from frametide.llm.common import checkpoint_dir, start, table
 
+#: Near-duplicates of the corpus: distinct shingles of so many words, Jaccard threshold in percent.
+#: (op10's 4 words and 85 % are that query's own.)
+SHINGLE = 5
+PERCENT = 80
+
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned decision list keeps."""
@@ -19,7 +24,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each n-gram Jaccard class."""
     start(spark)
-    return parity_join.keep_one(docs)
+    return parity_join.keep_one(docs, SHINGLE, PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """N-gram Jaccard join by parity sketches.
 
-The distinct 4-word shingles of a text are hashed to 64 bits. A parity sketch
-flips one bit per shingle, so the Hamming distance of two sketches is at most
-the symmetric difference of the sets. Two sets with a Jaccard index of 85 % or
-more differ in at most 15/85 of the smaller one. Per size band, the hash range
-is cut into more pieces than that difference; the parity (XOR) of a piece is
-its join key, and linked sets agree in at least ``pieces - difference`` keys.
+The distinct word shingles of a text (of 4 words unless told otherwise) are
+hashed to 64 bits. A parity sketch flips one bit per shingle, so the Hamming
+distance of two sketches is at most the symmetric difference of the sets. Two
+sets with a Jaccard index of 85 % (or the given percentage) or more differ in at
+most 15/85 of the smaller one. Per size band, the hash range is cut into more
+pieces than that difference; the parity (XOR) of a piece is its join key, and
+linked sets agree in at least ``pieces - difference`` keys.
 
 Equal sets are one class before anything is joined. Members of a key group are
 first verified against the smallest leader met, then against a leader of each
@@ -14,7 +15,7 @@ within the sketch bound is verified, so no link between components is lost. Pair
 Hamming bound of 1024-bit sketches, then the exact intersection.
 
 Defined cases: null, empty and blank texts have no shingles and link with
-nothing (component_id is their doc_id); fewer than four words are one shingle;
+nothing (component_id is their doc_id); fewer words than a shingle has are one;
 a null doc_id stays out of a component's minimum (its own component_id is null
 unless a linked row has an id); repeated rows are rows of one class; equal
 sizes and ties order by set hash. Sets are identified by 64-bit hashes.
@@ -22,7 +23,9 @@ sizes and ties order by set hash. Sets are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,8 @@ from pyspark.sql import functions as F
 
 from frametide.llm.common import flat_text, mixed, passes, random_table, typed
 
+#: Words of a shingle (up to 16) and Jaccard threshold in percent of the op10 query.
 SHINGLE = 4
-#: Jaccard threshold in percent.
 PERCENT = 85
 SKETCH_WORDS = 16
 #: Spare pieces beyond the difference, as a share of it: linked sets agree in more pieces by as many.
@@ -48,7 +51,7 @@ _BREAK[[32, 9, 10, 11, 12, 13]] = True
 _BYTE = random_table(101)
 _BYTE[65:91] = _BYTE[97:123]
 _BYTE[_BREAK] = 0
-_ODD = random_table(7, 6) | np.uint64(1)
+_ODD = random_table(7, 16) | np.uint64(1)
 _BASE = int(_ODD[4])
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -95,18 +98,18 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return mixed(h + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every row."""
     h, rows = word_hashes(raw, offsets)
     m = np.zeros(0, np.uint64)
-    if len(h) >= SHINGLE:
-        m = h[:-3] * _ODD[0]
-        for i in range(1, SHINGLE):
-            m += h[i : len(h) - SHINGLE + 1 + i] * _ODD[i]
+    if len(h) >= shingle:
+        m = h[: len(h) - shingle + 1] * _ODD[0]
+        for i in range(1, shingle):
+            m += h[i : len(h) - shingle + 1 + i] * _ODD[i]
         m = mixed(m)
     for a, b in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
-        if b - a >= SHINGLE:
-            yield np.unique(m[a : b - SHINGLE + 1])
+        if b - a >= shingle:
+            yield np.unique(m[a : b - shingle + 1])
         elif b > a:
             yield mixed((h[a:b] * _ODD[: b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a))
         else:
@@ -117,31 +120,34 @@ def set_id(s: np.ndarray) -> int:
     return int(mixed(s.sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s)))[0].astype(np.int64)) if len(s) else 0
 
 
-def _bands() -> list[int]:
+@cache
+def bands(percent: int) -> np.ndarray:
     """Lower bounds of the size bands; linked sizes are in one band or in neighbours."""
     out = [1]
     while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, -(-out[-1] * 100 // PERCENT)))
-    return out
+        out.append(max(out[-1] + 1, -(-out[-1] * 100 // percent)))
+    return np.array(out)
 
 
-BANDS = _bands()
-_BAND_ARRAY = np.array(BANDS)
+def most_different(band: int, percent: int = PERCENT) -> int:
+    """Largest symmetric difference of linked sets whose smaller one is in ``band``."""
+    return (100 - percent) * (int(bands(percent)[band + 1]) - 1) // percent
 
 
-def most_different(band: int) -> int:
-    """Largest symmetric difference of linked sets whose smaller one is in ``band``."""
-    return (100 - PERCENT) * (BANDS[band + 1] - 1) // PERCENT
+def _few_lone(mean: float, share: float) -> bool:
+    """Whether pieces of ``mean`` shingles hold one or none in less than ``share`` of cases."""
+    return (1 + mean) * math.exp(-mean) < share
 
 
-def piece_keys(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+def piece_keys(s: np.ndarray, band: int, percent: int = PERCENT) -> tuple[np.ndarray, int]:
     """Join keys of a set in ``band``, the parities of its hash range's
     pieces, and how many of them any linked set has at least.
 
     Linked sets agree in ``pieces - difference`` pieces. Weak pieces (one
-    shingle or none) are no keys if a strong one must agree as well; a set of
-    too many weak pieces has all pieces as keys."""
-    d = most_different(band)
+    shingle or none; only none where a piece has few shingles on average) are
+    no keys if a strong one must agree as well; a set of too many weak pieces
+    has all pieces as keys."""
+    d = most_different(band, percent)
     spare = 2 + int(np.ceil(SPARE * d))
     n = d + 1 + spare
     piece = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
@@ -149,7 +155,7 @@ def piece_keys(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     parity = np.bitwise_xor.reduceat(s, at) if len(at) else s[:0]
     place = piece[at]
     count = np.diff(at, append=len(s))
-    strong = count > (1 if d >= 8 else 0)
+    strong = count > (1 if d >= 8 and _few_lone(int(bands(percent)[band]) / n, spare / n) else 0)
     salt = random_table(band + 1_000, 1)[0]
     weak = n - int(strong.sum())
     if weak > spare:
@@ -159,14 +165,14 @@ def piece_keys(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     return mixed(parity[strong] ^ mixed(place[strong] + salt)), spare + 1 - weak
 
 
-def keys_of(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def keys_of(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Keys in the set's own band and, as the larger partner, in the one
     below; for each key 2 * (agreeing keys at least) + (0 own band, 1 below)."""
     n = len(s)
-    band = int(np.searchsorted(_BAND_ARRAY, n, "right")) - 1
-    out = [piece_keys(s, band)] if most_different(band) else [(s[:0], 0)]
-    if band and most_different(band - 1) and PERCENT * n <= 100 * (BANDS[band] - 1):
-        out.append(piece_keys(s, band - 1))
+    band = int(np.searchsorted(bands(percent), n, "right")) - 1
+    out = [piece_keys(s, band, percent)] if most_different(band, percent) else [(s[:0], 0)]
+    if band and most_different(band - 1, percent) and percent * n <= 100 * (int(bands(percent)[band]) - 1):
+        out.append(piece_keys(s, band - 1, percent))
     slots = [np.full(len(k), min(2 * m, 1 << 14) + i, np.int16) for i, (k, m) in enumerate(out)]
     return np.concatenate([k for k, _ in out]), np.concatenate(slots)
 
@@ -176,41 +182,44 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _each_set(batch, column: str = "text") -> Iterator[np.ndarray]:
-    raw, offsets = flat_text(batch.column(column))
+def _each_set(batch, shingle: int) -> Iterator[np.ndarray]:
+    raw, offsets = flat_text(batch.column("text"))
     for a, b in passes(offsets, SET_PASS_BYTES):
-        yield from shingle_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        yield from shingle_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle)
+
 
+def _digest(shingle: int):
+    def run(batches):
+        names = ["doc_id", "n_shingles", "set_id", *[f"k{i}" for i in range(SKETCH_WORDS)]]
+        for batch in batches:
+            n, ids, sketches = [], [], []
+            for s in _each_set(batch, shingle):
+                n.append(len(s))
+                ids.append(set_id(s))
+                sketches.append(sketch(s))
+            k = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], names)
 
-def _digest(batches):
-    names = ["doc_id", "n_shingles", "set_id", *[f"k{i}" for i in range(SKETCH_WORDS)]]
-    for batch in batches:
-        n, ids, sketches = [], [], []
-        for s in _each_set(batch):
-            n.append(len(s))
-            ids.append(set_id(s))
-            sketches.append(sketch(s))
-        k = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
-        yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], names)
+    return run
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, set size, set id and 1024-bit parity sketch per row."""
     ddl = "n_shingles bigint, set_id bigint, " + ", ".join(f"k{i} bigint" for i in range(SKETCH_WORDS))
-    return docs.select("doc_id", "text").mapInArrow(_digest, typed(docs, ["doc_id"], ddl))
+    return docs.select("doc_id", "text").mapInArrow(_digest(shingle), typed(docs, ["doc_id"], ddl))
 
 
-def _deal(buckets: int):
+def _deal(buckets: int, shingle: int, percent: int):
     """Keys, set ids and slots of a batch as one row of packed arrays per
     bucket: a million keys cost a few hundred rows. Equal sets of a batch count once."""
 
     def run(batches):
         for batch in batches:
             seen, keys, ids, slots = set(), [], [], []
-            for s in _each_set(batch):
+            for s in _each_set(batch, shingle):
                 if len(s) and (i := set_id(s)) not in seen:
                     seen.add(i)
-                    k, slot = keys_of(s)
+                    k, slot = keys_of(s, percent)
                     keys.append(k)
                     slots.append(slot)
                     ids.append(np.full(len(k), i, np.int64))
@@ -260,7 +269,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"g": np.repeat(name, size)[rows].view(np.int64), "id": i[rows], "slot": slot[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
 
 
-def key_groups(docs: DataFrame) -> DataFrame:
+def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(g, id): sets that share a key.
 
     A set of which m keys at least agree with any linked one leaves its m - 1
@@ -268,7 +277,7 @@ def key_groups(docs: DataFrame) -> DataFrame:
     sides: m - 1 others that they share are larger. So very common pieces,
     which many unrelated sets share, bring no pairs, and no link is lost."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("text").mapInArrow(_deal(2 * parts), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
+    dealt = docs.select("text").mapInArrow(_deal(2 * parts, shingle, percent), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
     met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, slot smallint, size bigint").checkpoint()
     large = F.col("size") >= LARGE
     place = F.row_number().over(Window.partitionBy("id", "slot").orderBy(F.desc("size"), "g"))
@@ -276,50 +285,56 @@ def key_groups(docs: DataFrame) -> DataFrame:
     return met.where(~large).select("g", "id").union(rest.select("g", "id"))
 
 
-def _pack(batches):
-    for batch in batches:
-        ids, packed = [], []
-        for want, s in zip(batch.column("want").to_pylist(), _each_set(batch), strict=True):
-            if set_id(s) == want:
-                ids.append(want)
-                packed.append(s.tobytes())
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["id", "packed"])
+def _pack(shingle: int):
+    def run(batches):
+        for batch in batches:
+            ids, packed = [], []
+            for want, s in zip(batch.column("want").to_pylist(), _each_set(batch, shingle), strict=True):
+                if set_id(s) == want:
+                    ids.append(want)
+                    packed.append(s.tobytes())
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["id", "packed"])
+
+    return run
 
 
-def _verify(batches):
-    for batch in batches:
-        hit = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            hit.append(100 * common >= PERCENT * (len(both) - common))
-        mask = pa.array(hit, pa.bool_())
-        yield pa.record_batch([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+def _verify(percent: int):
+    def run(batches):
+        for batch in batches:
+            hit = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.concatenate([x, y])
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                hit.append(100 * common >= percent * (len(both) - common))
+            mask = pa.array(hit, pa.bool_())
+            yield pa.record_batch([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+    return run
 
 
 def _side(sets: DataFrame, c: str) -> DataFrame:
     return sets.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("doc_id").alias(f"d{c}"), *[F.col(f"k{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)])
 
 
-def _within_bound():
+def _within_bound(percent: int):
     """Sizes and sketches allow the sets a and b to be linked."""
     far = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    near = far * (100 + PERCENT) <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
-    return near & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
+    near = far * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return near & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of set ids that are linked, by sketch bound and exact
     intersection. Only one document per set involved is shingled again."""
-    near = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_within_bound())
+    near = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_within_bound(percent))
     near = near.select("a", "b", "da", "db").checkpoint()
     want = near.select(F.col("a").alias("want"), F.col("da").alias("doc_id")).union(near.select("b", "db")).distinct()
-    packed = docs.select("doc_id", "text").join(if_small(want), "doc_id").select("want", "text").mapInArrow(_pack, "id bigint, packed binary")
+    packed = docs.select("doc_id", "text").join(if_small(want), "doc_id").select("want", "text").mapInArrow(_pack(shingle), "id bigint, packed binary")
     packed = packed.groupBy("id").agg(F.first("packed").alias("packed")) if _repeats(docs) else packed
     both = near.select("a", "b").join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
 def if_small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -364,12 +379,12 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return moved.union(new.join(roots.select("id"), "id", "left_anti").select("id", "root")).checkpoint()
 
 
-def join_classes(docs: DataFrame) -> DataFrame:
+def join_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``docs``."""
-    rows = digests(docs).checkpoint()
+    rows = digests(docs, shingle).checkpoint()
     sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min("doc_id").alias("doc_id"))
     named = docs.where("doc_id is not null")
-    groups = key_groups(named).distinct().checkpoint()
+    groups = key_groups(named, shingle, percent).distinct().checkpoint()
     roots, at = None, groups.withColumn("root", F.col("id"))
     for meet_all in (False, True):
         # First the smallest of all leaders; then, in every group, a leader of the group's own: as many pairs as group rows.
@@ -379,25 +394,25 @@ def join_classes(docs: DataFrame) -> DataFrame:
         if not meet_all:
             stars = stars.groupBy("id").agg(F.min("other").alias("other"))
         stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        roots = merged(roots, verified(stars, sets, named))
+        roots = merged(roots, verified(stars, sets, named, shingle, percent))
         at = groups.join(roots, "id", "left").select("g", "id", F.coalesce("root", "id").alias("root"))
     open_groups = at.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("g")
     at = at.join(open_groups, "g").checkpoint()
     left = at.select("g", F.col("id").alias("a"), F.col("root").alias("ra")).join(_side(sets, "a").drop("da"), "a")
     right = at.select("g", F.col("id").alias("b"), F.col("root").alias("rb")).join(_side(sets, "b").drop("db"), "b")
-    rest = left.join(right, (left["g"] == right["g"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within_bound()).select("a", "b").distinct()
-    roots = merged(roots, verified(rest, sets, named))
+    rest = left.join(right, (left["g"] == right["g"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within_bound(percent)).select("a", "b").distinct()
+    roots = merged(roots, verified(rest, sets, named, shingle, percent))
     rows = rows.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rows.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "root", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the row with
     the smallest doc_id stays, and one of several equal (doc_id, text) rows.
     Rows without an id stay."""
-    classes = join_classes(docs).where("doc_id is not null").checkpoint()
+    classes = join_classes(docs, shingle, percent).where("doc_id is not null").checkpoint()
     drop = if_small(classes.where("doc_id <> component_id").select("doc_id").distinct())
     out = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
     twice = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import start
 from frametide.llm.induced_sort import common_prefixes, suffix_array
@@ -93,6 +94,35 @@ def test_sketch_keys_lose_no_link():
                 assert set(parity_join.keys_of(a)[0].tolist()) & set(parity_join.keys_of(b)[0].tolist())
 
 
+def test_pipeline_stage_drops_five_word_near_copies(spark):
+    start(spark)
+    fifty = [f"v{i}" for i in range(50)]
+    texts = [(1, BASE), (2, " ".join(fifty)), (3, " ".join(fifty[:25] + ["new"] + fifty[26:])), (4, " ".join(fifty[:10] + ["new"] + fifty[11:40] + ["more"] + fifty[41:])), (5, "four words are one"), (6, "Four words ARE one"), (7, "")]
+    near = lambda x, y, n, percent: 100 * len(x[n] & y[n]) >= percent * len(x[n] | y[n]) > 0
+    grams = {i: {n: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or ({tuple(w)} if w else set()) for n in (4, 5)} for i, t in texts for w in [words(t.lower())]}
+    assert near(grams[2], grams[3], 5, 80) and not near(grams[2], grams[3], 4, 85)
+    kept = [i for i, _ in texts if not any(near(grams[i], grams[j], 5, 80) for j in grams if j < i)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(texts, "doc_id bigint, text string"), None)
+    assert sorted(r["doc_id"] for r in got.collect()) == kept == [1, 2, 4, 5, 7]
+
+
+def test_sketch_keys_lose_no_link_at_eighty_percent():
+    rng = np.random.default_rng(4)
+    for n in (5, 9, 14, 40, 300):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            cut = int(rng.integers(0, max(1, int(n * 0.2)) + 1))
+            b = np.unique(np.concatenate([a[cut:], rng.integers(0, 2**63, int(rng.integers(0, cut + 1))).astype(np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 80 * (len(a) + len(b) - common) and not np.array_equal(a, b):
+                (ka, sa), (kb, sb) = (parity_join.keys_of(x, 80) for x in (a, b))
+                shared = np.intersect1d(ka, kb)
+                assert len(shared)
+                # A set may leave its (agreeing keys at least) - 1 largest groups.
+                slots = [{int(s) & 1: int(s) >> 1 for k, s in zip(ks, ss, strict=True) if k in shared} for ks, ss in ((ka, sa), (kb, sb))]
+                assert all(len(shared) >= m for own in slots for m in own.values())
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(1)
     for _ in range(60):
