@@ -179,6 +179,26 @@ def test_scan_queries_keep_rows(docs):
     assert secrets.redact(docs, {}).columns == docs.columns
 
 
+def test_pii_mentions_span_number_groups_and_spelled_addresses():
+    text = "ring 0171 234 567, or (030) 99-12 34. Card 4111 1111 1111 1112 bob at host.example, x (at) y dot org; 1234 in 10.0.0.1 " + "12345678 " * 3 + "é at b bob at 5551234"
+    base = pii.base_spans(text)
+    got = [text[s:e] for s, k, e in pii.mentions(text, base) if k < 0]
+    assert got == ["0171 234 567", "(030) 99-12 34", "4111 1111 1111 1112", "bob at host.example", "x (at) y dot org", "1234", "12345678", "12345678", "12345678", "5551234"]
+
+
+def test_pii_finds_identifiers_of_new_formats(spark):
+    start(spark)
+    rows = [(i, f"please call +1 (499) 555-{6000 + i} today, or write to user{i}@mail.example.com for help") for i in range(60)]
+    new = {100: ("555-0199", "phone"), 101: ("0171 234 567", "phone"), 102: ("00 49 (30) 1234", "phone"), 103: ("ann at host.example", "email"), 104: ("ann[at]host", "email")}
+    for i, (value, kind) in new.items():
+        rows.append((i, f"please call {value} today" if kind == "phone" else f"write to {value} for help"))
+    rows += [(200 + i, f"the year {1900 + i} was good, look at page{i} of it") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.report(pii.extract(df)).where("n_discovered > 0").collect()}
+    want = {i: f"{kind}:{(at := dict(rows)[i].index(value))}:{at + len(value)}" for i, (value, kind) in new.items()}
+    assert {i: r["spans"] for i, r in got.items()} == want
+
+
 def test_decontamination_within_budget(docs, spark):
     items = spark.createDataFrame([(1, BASE[100:200]), (2, BASE[100:200].replace("word2", "werd2", 1)), (3, None), (4, "nothing of this kind anywhere, really")], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, items, block_chars=150).collect()}
