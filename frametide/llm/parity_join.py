@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frametide.llm.common import flat_text, mixed, passes, random_table, typed
+from frametide.llm.common import flat_text, fresh, mixed, passes, random_table, typed
 
 #: Words of a shingle (up to 16) and Jaccard threshold in percent of the op10 query.
 SHINGLE = 4
@@ -190,7 +190,7 @@ def _each_set(batch, shingle: int) -> Iterator[np.ndarray]:
 
 def _digest(shingle: int):
     def run(batches):
-        names = ["doc_id", "n_shingles", "set_id", *[f"k{i}" for i in range(SKETCH_WORDS)]]
+        names = ["doc_id", "text_id", "n_shingles", "set_id", *[f"k{i}" for i in range(SKETCH_WORDS)]]
         for batch in batches:
             n, ids, sketches = [], [], []
             for s in _each_set(batch, shingle):
@@ -198,15 +198,15 @@ def _digest(shingle: int):
                 ids.append(set_id(s))
                 sketches.append(sketch(s))
             k = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], names)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], names)
 
     return run
 
 
 def digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, set size, set id and 1024-bit parity sketch per row."""
-    ddl = "n_shingles bigint, set_id bigint, " + ", ".join(f"k{i} bigint" for i in range(SKETCH_WORDS))
-    return docs.select("doc_id", "text").mapInArrow(_digest(shingle), typed(docs, ["doc_id"], ddl))
+    """doc_id, text hash, set size, set id and 1024-bit parity sketch per row."""
+    ddl = "text_id bigint, n_shingles bigint, set_id bigint, " + ", ".join(f"k{i} bigint" for i in range(SKETCH_WORDS))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(_digest(shingle), typed(docs, ["doc_id"], ddl))
 
 
 def _deal(buckets: int, shingle: int, percent: int):
@@ -379,8 +379,8 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return moved.union(new.join(roots.select("id"), "id", "left_anti").select("id", "root")).checkpoint()
 
 
-def join_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs``."""
+def rooted(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_id, n_shingles and the class's root set per row of ``docs``."""
     rows = digests(docs, shingle).checkpoint()
     sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min("doc_id").alias("doc_id"))
     named = docs.where("doc_id is not null")
@@ -402,7 +402,13 @@ def join_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     right = at.select("g", F.col("id").alias("b"), F.col("root").alias("rb")).join(_side(sets, "b").drop("db"), "b")
     rest = left.join(right, (left["g"] == right["g"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within_bound(percent)).select("a", "b").distinct()
     roots = merged(roots, verified(rest, sets, named, shingle, percent))
-    rows = rows.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    rows = rows.select("doc_id", "text_id", "n_shingles", "set_id").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left")
+    return rows.select("doc_id", "text_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
+
+
+def join_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of ``docs``."""
+    rows = rooted(docs, shingle, percent)
     least = rows.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "root", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -410,12 +416,16 @@ def join_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the row with
-    the smallest doc_id stays, and one of several equal (doc_id, text) rows.
-    Rows without an id stay."""
-    classes = join_classes(docs, shingle, percent).where("doc_id is not null").checkpoint()
-    drop = if_small(classes.where("doc_id <> component_id").select("doc_id").distinct())
-    out = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    twice = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    the smallest (doc_id, text hash) stays, and one of several equal (doc_id,
+    text) rows. Rows without an id stay."""
+    rows = rooted(docs, shingle, percent).where("doc_id is not null").checkpoint()
+    least = rows.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc_id", "text_id")).alias("least"))
+    gone = (F.col("least.doc_id") != F.col("doc_id")) | (F.col("least.text_id") != F.col("text_id"))
+    drop = if_small(rows.where("n_shingles > 0").join(least, "root").where(gone).select("doc_id", "text_id").distinct())
+    text_id = fresh(docs, "text_id")
+    keyed = docs.withColumn(text_id, F.xxhash64("text"))
+    out = keyed.join(drop.withColumnRenamed("text_id", text_id), ["doc_id", text_id], "left_anti")
+    twice = rows.groupBy("doc_id", "text_id").count().where("count > 1").select("doc_id", F.col("text_id").alias(text_id))
     if twice.isEmpty():
-        return out
-    return out.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(out.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+        return out.select(*docs.columns)
+    return out.join(twice, ["doc_id", text_id], "left_anti").select(*docs.columns).unionByName(out.join(twice, ["doc_id", text_id], "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))

@@ -82,6 +82,14 @@ def test_parity_join_matches_all_pairs(docs):
     assert kept == sorted({root[i] for i, _ in sets if i is not None})
 
 
+def test_keep_one_leaves_a_row_of_every_class(spark):
+    start(spark)
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(3, BASE), (10, BASE + " "), (10, other), (11, other), (12, other), (13, ""), (13, ""), (14, None)]
+    got = parity_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r["doc_id"], r["text"] or "") for r in got.collect()) == [(3, BASE), (10, other), (13, ""), (14, "")]
+
+
 def test_sketch_keys_lose_no_link():
     rng = np.random.default_rng(3)
     for n in (6, 9, 14, 40, 300):
