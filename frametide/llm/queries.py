@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
+from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, periodic_runs, pii, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import table
 from frametide.llm.registry import llm_query
 
@@ -80,3 +80,11 @@ def op6_quality_crf(spark, sf_dir):
 def op3_suffix_dedup(spark, sf_dir):
     """What is left of every document without repeated 100-byte strings."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, a tenth of them with a periodic tail."""
+    docs = table(spark, sf_dir, "documents")
+    text = periodic_runs.with_periodic_tail(F.col("doc_id"), F.col("text"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs, text=text))
