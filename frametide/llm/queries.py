@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, periodic_runs, pii, quality_crf, quality_rules, secrets, suffix_dedup
+from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, periodic_runs, pii, prefix_trie, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import table
 from frametide.llm.registry import llm_query
 
@@ -82,6 +82,12 @@ def op3_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op11_prefix_trie")
+def op11_prefix_trie(spark, sf_dir):
+    """Nodes of the trie over rebuilt conversations."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.strings(table(spark, sf_dir, "conversations"))))
+
+
 @llm_query("op13_periodic_runs")
 def op13_periodic_runs(spark, sf_dir):
     """Periodic runs of words of every document, a tenth of them with a periodic tail."""
