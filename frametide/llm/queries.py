@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, periodic_runs, pii, prefix_trie, quality_crf, quality_rules, secrets, suffix_dedup
+from frametide.llm import chat_format, decontamination, language_id, mixing, one_bit_search, parity_join, periodic_runs, pii, prefix_trie, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import table
 from frametide.llm.registry import llm_query
 
@@ -88,6 +88,12 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.strings(table(spark, sf_dir, "conversations"))))
 
 
+@llm_query("op12_one_bit_search")
+def op12_one_bit_search(spark, sf_dir):
+    """The 20 nearest vectors, by inner product, of every 20th vector."""
+    return one_bit_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 @llm_query("op13_periodic_runs")
 def op13_periodic_runs(spark, sf_dir):
     """Periodic runs of words of every document, a tenth of them with a periodic tail."""
