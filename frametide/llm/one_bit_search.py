@@ -13,7 +13,7 @@ lies just above the bar is missed with a chance of about 1.4 %). A vector is rer
 its upper bound lies below the exact score of the k-th best found in the query's first block.
 
 A query first searches one block of its own cell, which gives a k-th best score;
-then all blocks of the cells whose upper bound reaches that score. Cells are cut
+then all other blocks of the cells whose upper bound reaches that score. Cells are cut
 into blocks of bounded size, so a cell that holds most vectors is many tasks.
 Every row is indexed, and none is left out but by a bound. Centres are fitted on
 a bounded sample (``FIT_ROWS``, ``FIT_VALUES``); they steer cost, not results.
@@ -226,7 +226,7 @@ def _cells_within_reach(index: Index, stats: np.ndarray):
                 most = dot + np.minimum(stats[:, 1] * size, stats[:, 1] * away + stats[:, 2] - index.norms)
                 most += 1e-9 * (1.0 + np.abs(most))
                 at, cell = np.nonzero(((most >= floor[lo : lo + 256, None]) | ~np.isfinite(most)) & (stats[:, 0] > 0))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + lo)), batch.column(1).take(pa.array(at + lo)), batch.column(2).take(pa.array(at + lo)), pa.array(cell.astype(np.int32))], names=["query_id", "q", "floor", "cell"])
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at + lo)).columns, pa.array(cell.astype(np.int32))], names=[*batch.schema.names, "cell"])
 
     return run
 
@@ -261,10 +261,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, seed: int = 12, id_c
     asking = asking.select(F.col("id").alias("query_id"), F.col("v").alias("q"), "cell", block.alias("block")).checkpoint()
     parts = F.pmod(F.xxhash64("query_id"), F.lit(1 + asking.count() // PACK_ROWS))
     anything = F.lit(float("-inf"))
-    first = _probe(index, blocks, asking.withColumn("floor", anything), parts, k)
+    first = _probe(index, blocks, asking.withColumn("floor", anything), parts, k).checkpoint()
     floors = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(anything).alias("floor"))
-    floored = asking.join(floors, "query_id", "left").select("query_id", "q", F.coalesce("floor", anything).alias("floor"))
-    reached = floored.mapInArrow(_cells_within_reach(index, stats), "query_id bigint, q binary, floor double, cell int")
+    home = [F.col("cell").alias("home_cell"), F.col("block").alias("home_block")]
+    floored = asking.join(floors, "query_id", "left").select("query_id", "q", F.coalesce("floor", anything).alias("floor"), *home)
+    reached = floored.mapInArrow(_cells_within_reach(index, stats), "query_id bigint, q binary, floor double, home_cell int, home_block int, cell int")
     reached = reached.withColumn("block", F.explode(F.sequence(F.lit(0), cuts - 1)))
-    # The first block is searched once more, by its floor: these hits are all there are.
-    return _top(_probe(index, blocks, reached, parts, k), k).select("query_id", "rank", "vec_id", "score")
+    reached = reached.where((F.col("cell") != F.col("home_cell")) | (F.col("block") != F.col("home_block"))).drop("home_cell", "home_block")
+    return _top(first.unionByName(_probe(index, blocks, reached, parts, k)), k).select("query_id", "rank", "vec_id", "score")

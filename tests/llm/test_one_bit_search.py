@@ -80,6 +80,7 @@ def test_search_equals_brute_force(spark, kind, dim, monkeypatch):
     df = spark.createDataFrame([(*r, "clash", 0) for r in rows], f"vec_id bigint, embedding array<{kind}>, v string, cell int")
     got, want = searched(ob.nearest(df, F.col("id") % 20 == 0)), plain(rows)
     assert got.keys() == want.keys()
+    assert all(len(hits) == 20 for hits in got.values())
     same = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert same >= 0.97 * 20 * len(want)
     for q, hits in got.items():
