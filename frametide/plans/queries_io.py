@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frametide.functions.keys import week_from_filename
 from frametide.operators import joins
 from frametide.plans.fixtures import frames_events, labels_events, test_events, test_input_events, with_views
 from frametide.plans.registry import register
 from frametide.session import staging_path
-from frametide.sources import files, sinks
+from frametide.sources import files, headers, sinks
 
 PERSIST_SQL = (
     "SELECT t.id, i.x, i.y FROM test_events AS t "
@@ -71,6 +72,90 @@ def concat_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("double") for c in ("row_id", "num_frames_output", "absolute_yardline_number")})
 
 
+_EARLY, _SHORT = "week <= 2", "week = 3"
+
+
+def _staged_unlike(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Weekly files in three layouts: weeks 1 and 2 with reversed columns, week
+    3 without two of them and with one of its own, the rest as they are."""
+    frames = frames_events(spark, sf_dir)
+    root = staging_path(spark, "unlike")
+    files.write_weekly_csv(frames.where(_EARLY).select(*reversed(frames.columns)), f"{root}/a", "input")
+    files.write_weekly_csv(frames.where(_SHORT).drop("dir", "ball_land_x").withColumn("weather", F.lit("rain")), f"{root}/b", "input")
+    files.write_weekly_csv(frames.where(f"NOT ({_EARLY} OR {_SHORT})"), f"{root}/c", "input")
+    return frames, f"{root}/*/file=input_*.csv"
+
+
+@register(
+    "concat_unlike_files",
+    with_views("frames_events")
+    + f"SELECT * REPLACE (CASE WHEN {_SHORT} THEN NULL ELSE dir END AS dir, "
+    f"CASE WHEN {_SHORT} THEN NULL ELSE ball_land_x END AS ball_land_x) FROM frames_events",
+)
+def concat_unlike_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + U1: weekly files whose headers differ, concatenated by column
+    name; a column that a file lacks is null, unknown columns are left out."""
+    frames, pattern = _staged_unlike(spark, sf_dir)
+    return files.scan_inputs(spark, schema=frames.drop("week").schema, pattern=pattern)
+
+
+@register(
+    "concat_unlike_columns",
+    with_views("frames_events")
+    + f"SELECT week, count(*) AS n_rows, count(CASE WHEN NOT {_SHORT} THEN dir END) AS n_dir, count(CASE WHEN NOT {_SHORT} THEN ball_land_x END) AS n_ball, "
+    + f"count(CASE WHEN {_SHORT} THEN 1 END) AS n_weather FROM frames_events GROUP BY week",
+)
+def concat_unlike_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 without a schema: every column of any file is kept; filled cells per week."""
+    _, pattern = _staged_unlike(spark, sf_dir)
+    every = headers.scan_by_name(spark, pattern, with_source=True)
+    week = week_from_filename(F.col("source_file")).alias("week")
+    counts = {"n_dir": "dir", "n_ball": "ball_land_x", "n_weather": "weather"}
+    return every.groupBy(week).agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(k) for k, c in counts.items()])
+
+
+#: Texts that stand where numbers belong, by row id, in both dialects.
+_SPOILED = {"x": (7, "'n/a'"), "frame_id": (11, "'12f'"), "s": (13, "'--' || row_id % 3")}
+
+
+def _spoiled(frames: DataFrame) -> DataFrame:
+    return frames.withColumns({c: F.expr(f"CASE WHEN row_id % {n} = 0 THEN {text} ELSE string({c}) END") for c, (n, text) in _SPOILED.items()})
+
+
+_REJECTS_SQL = " UNION ALL ".join(
+    f"SELECT week, '{c}' AS column_name, count(*) AS n_rows, count_if(row_id % {n} = 0) AS n_rejected, "
+    f"min(CASE WHEN row_id % {n} = 0 THEN {text} END) AS example FROM frames_events GROUP BY week"
+    for c, (n, text) in _SPOILED.items()
+)
+
+
+@register("reject_report", with_views("frames_events") + _REJECTS_SQL)
+def reject_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1: cells of the weekly files that are no value of their column's
+    type, per week and column, with an example."""
+    frames = frames_events(spark, sf_dir)
+    root = staging_path(spark, "spoiled")
+    files.write_weekly_csv(_spoiled(frames), f"{root}/inputs", "input")
+    schema = frames.select(*_SPOILED).schema
+    found = headers.reject_report(spark, f"{root}/inputs/file=input_*.csv", schema)
+    week = week_from_filename(F.col("file")).alias("week")
+    return found.groupBy(week, "column_name").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.min("example").alias("example"))
+
+
+@register(
+    "reject_report_json",
+    with_views("frames_events")
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count_if(row_id % {n} = 0) AS n_rejected FROM frames_events" for c, (n, _) in _SPOILED.items()),
+)
+def reject_report_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable values of request rows, per key."""
+    frames = frames_events(spark, sf_dir)
+    path = staging_path(spark, "spoiled_requests")
+    _spoiled(frames).write.mode("overwrite").json(path)
+    found = headers.reject_report(spark, path, frames.select(*_SPOILED).schema, json_lines=True)
+    return found.groupBy("column_name").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"))
+
+
 @register("scan_test_input", with_views("test_input_events") + "SELECT * FROM test_input_events")
 def scan_test_input_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``test_input.csv`` read back with its schema."""

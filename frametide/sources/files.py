@@ -7,13 +7,14 @@ are split into tasks, and only the columns a query uses are parsed/read.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frametide.functions.keys import week_from_filename
 from frametide.operators.validate import check_required_column
 from frametide.schemas import TEST, TRACKING_INPUT, TRACKING_OUTPUT
+from frametide.sources.headers import observed_rejects, scan_by_name
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -26,26 +27,31 @@ def _missing_path(err: AnalysisException) -> bool:
 
 
 def scan_csv_glob(
-    spark: SparkSession, pattern: str, schema: T.StructType, with_source: bool = False
+    spark: SparkSession, pattern: str, schema: T.StructType, with_source: bool = False, observation: Observation | None = None
 ) -> DataFrame:
-    """All CSV files matching ``pattern`` (header row, explicit schema);
-    an empty DataFrame with ``schema`` when nothing matches.
+    """S1 + U1: all CSV files matching ``pattern``, concatenated by column name
+    under an explicit schema (files may differ in the order and choice of
+    their columns); an empty DataFrame with ``schema`` when nothing matches.
 
     ``with_source`` adds ``source_file`` (the full file path) from the scan's
-    hidden metadata column - the key for per-file attributes such as week.
+    hidden metadata column - the key for per-file attributes such as week. With
+    ``observation`` the text that is no value of its column's type is counted
+    per column while the result is first computed.
     """
     try:
-        # Columns bind by header name; a file whose header differs from the
-        # first one's fails instead of being read by position.
-        raw = spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
-        have = set(raw.columns)
-        cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        return raw.select(*cols, *([F.col("_metadata.file_path").alias("source_file")] if with_source else []))
+        if observation is None:
+            out = scan_by_name(spark, pattern, schema, with_source)
+        else:
+            out = scan_by_name(spark, pattern, None, with_source)
+            out = out if out is None else observed_rejects(out, schema, observation, ["source_file"] if with_source else [])
     except AnalysisException as err:
         if not _missing_path(err):
             raise
-        out = empty(spark, schema)
-        return out.withColumn("source_file", F.lit(None).cast("string")) if with_source else out
+        out = None
+    if out is not None:
+        return out
+    out = empty(spark, schema)
+    return out.withColumn("source_file", F.lit(None).cast("string")) if with_source else out
 
 
 def _scan_weekly(spark: SparkSession, train_dir: str, prefix: str, schema: T.StructType, pattern: str | None):
