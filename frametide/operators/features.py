@@ -24,7 +24,7 @@ from frametide.schemas import FEATURE_COLUMNS, NUMERIC_FEATURE_INPUTS
 
 def prepare_features(
     df: DataFrame,
-    vocabulary: Sequence[str] | None = None,
+    vocabulary: Sequence[str] | DataFrame | None = None,
     encoder: str = "sorted",
     order_col: str | None = None,
 ) -> tuple[DataFrame, list[str]]:

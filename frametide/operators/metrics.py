@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frametide.functions.encoders import dense_index, first_seen_table
+from frametide.functions.encoders import first_seen_table, lazy_index
 from frametide.functions.keys import play_key
 
 
@@ -89,9 +89,9 @@ def finite_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def distinct_in_order(df: DataFrame, col: str, order_col: str, out: str = "ordinal") -> DataFrame:
     """Distinct non-null values with their first ``order_col`` and their
     0-based rank in first-appearance order. Ranked over the distinct set only
-    (already reduced by partial aggregation), with the distributed index so a
-    large distinct set never funnels through one task."""
-    indexed = dense_index(first_seen_table(df, col, order_col), ["first_order", col], out)
+    (already reduced by partial aggregation), bucket by bucket, as part of
+    the plan."""
+    indexed = lazy_index(first_seen_table(df, col, order_col), ["first_order", col], out)
     return indexed.withColumn(out, F.col(out).cast("int"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from frametide.functions.encoders import dense_index
 from frametide.schemas import PLAY_KEYS
+from frametide.session import checkpoint_dir
 
 # Fixed value: share of rows held out for validation.
 VALIDATION_FRACTION = 0.15
@@ -56,6 +57,9 @@ def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 # Hash-prefix histogram resolution: 4 hex digits -> at most 65 536 buckets,
 # collected to the driver (a proven bound, independent of the data size).
 PREFIX_DIGITS = 4
+# The bucket that holds the last row taken is refined digit by digit until it
+# has at most this many rows; only its hashes are then looked at one by one.
+BOUNDARY_ROWS = 65_536
 
 
 def sample_exact_n_with_total(
@@ -65,35 +69,72 @@ def sample_exact_n_with_total(
     replacement and reproducible - the rows with the smallest
     ``md5(seed|keys)`` - plus the input row count.
 
-    One aggregation pass counts rows per 4-hex-digit hash prefix (partial
-    aggregation; at most 65 536 result rows). Its sum is the row count, and
-    the smallest prefix boundary whose cumulative count reaches ``n``
-    selects the candidates: a prefix of the md5 order holding about
-    ``n + count / 65536`` rows, whose top ``n`` is the answer. The result
-    is identical to ordering every row.
+    A radix selection: one aggregation pass counts rows per 4-hex-digit hash
+    prefix (partial aggregation; at most 65 536 result rows). Its sum is the row
+    count, and the bucket in which the cumulative count reaches ``n`` is refined
+    by its next digits, until its hashes are few enough to name the ``n``-th
+    smallest. The sample is then a filter on the hash: rows stay in the
+    partitions they are in, whatever ``n``, and no task gathers them.
     """
-    prefix = F.substring(key_hash(keys, seed), 1, PREFIX_DIGITS)
-    counts = df.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")).collect()
-    return sample_from_histogram(df, sorted((r["p"], r["c"]) for r in counts), n, keys, seed)
+    return sample_from_histogram(df, _histogram(df, key_hash(keys, seed), ""), n, keys, seed)
+
+
+def _histogram(df: DataFrame, hashed: Column, prefix: str) -> list[tuple[str, int]]:
+    """(next digits, rows) of the rows whose hash starts with ``prefix``, sorted."""
+    digits = F.substring(hashed, len(prefix) + 1, PREFIX_DIGITS)
+    rows = df.where(hashed.startswith(prefix)) if prefix else df
+    return sorted((r["p"], r["c"]) for r in rows.groupBy(digits.alias("p")).agg(F.count("*").alias("c")).collect())
+
+
+def _reach(counts: Sequence[tuple[str, int]], n: int) -> tuple[str, int, int]:
+    """The first value at which the running count reaches ``n``, the count
+    before it, and its own."""
+    before = 0
+    for value, count in counts:
+        if before + count >= n:
+            return value, before, count
+        before += count
+    raise ValueError("fewer rows than asked for")
+
+
+def _lowest(df: DataFrame, hist: Sequence[tuple[str, int]], n: int, hashed: Column, digits: int, ties: Column | None) -> DataFrame:
+    """The ``n`` rows of the smallest hash (``digits`` hex digits); rows of the
+    same hash by ``ties``, another hash, and without one any of them."""
+    prefix, before, size = _reach(hist, n)
+    while size > BOUNDARY_ROWS and len(prefix) < digits:
+        more, skipped, size = _reach(_histogram(df, hashed, prefix), n - before)
+        prefix, before = prefix + more, before + skipped
+    last = df.where(hashed.startswith(prefix)).groupBy(hashed.alias("p")).agg(F.count("*").alias("c")).collect()
+    cut, skipped, size = _reach(sorted((r["p"], r["c"]) for r in last), n - before)
+    wanted = n - before - skipped
+    if wanted == size:
+        return df.where(hashed <= cut)
+    equal = df.where(hashed == cut)
+    if ties is not None:
+        return df.where(hashed < cut).unionByName(_lowest(equal, _histogram(equal, ties, ""), wanted, ties, 16, None))
+    return df.where(hashed < cut).unionByName(equal.limit(wanted))
 
 
 def sample_from_histogram(
-    df: DataFrame, hist: Sequence[tuple[str, int]], n: int, keys: Sequence[str], seed: int = 42
+    df: DataFrame, hist: Sequence[tuple[str, int]], n: int, keys: Sequence[str], seed: int = 42, settle: bool = False
 ) -> tuple[DataFrame, int]:
     """The exact sample given the sorted (prefix, rows) histogram of
-    ``df``'s sample hashes; returns (sample, row count)."""
+    ``df``'s sample hashes; returns (sample, row count). ``settle``
+    checkpoints the rows up to the boundary bucket (about ``n + count/65536``),
+    so that what follows doesn't compute ``df`` again. Rows that agree in all
+    keys go by a hash of the whole row."""
     total = sum(c for _, c in hist)
     if total <= n:
         return df, total
-    running, boundary = 0, hist[-1][0]
-    for p, c in hist:
-        running += c
-        if running >= n:
-            boundary = p
-            break
-    hashed = df.withColumn("_sample_hash", key_hash(keys, seed))
-    candidates = hashed.where(F.substring("_sample_hash", 1, PREFIX_DIGITS) <= F.lit(boundary))
-    return first_n(candidates, n, ["_sample_hash", *keys]).drop("_sample_hash"), total
+    if n <= 0:
+        return df.where(F.lit(False)), total
+    hashed = key_hash(keys, seed)
+    if settle:
+        checkpoint_dir(df.sparkSession)
+        df = df.where(F.substring(hashed, 1, PREFIX_DIGITS) <= F.lit(_reach(hist, n)[0])).checkpoint()
+    plain = [f.name for f in df.schema if "map" not in f.dataType.simpleString()]
+    ties = F.lower(F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in plain])), 16, "0"))
+    return _lowest(df, hist, n, hashed, 32, ties), total
 
 
 def sample_exact_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:

@@ -10,7 +10,7 @@ from frametide.functions.encoders import (
     category_code_first_seen,
     category_code_sorted,
     category_code_vocab,
-    fit_first_seen_vocabulary,
+    first_seen_codes,
 )
 from frametide.functions.geometry import ball_relative, direction_sin_cos
 from frametide.functions.numeric import numeric
@@ -198,8 +198,8 @@ def category_code_vocab_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     applied to all frames; values never seen in training get -1."""
     frames = frames_events(spark, sf_dir)
     train = joins.join_inputs_outputs(frames, labels_events(spark, sf_dir))
-    vocab = fit_first_seen_vocabulary(train, "player_position", "row_id")
-    return category_code_vocab(frames, vocab).select("row_id", "player_position", "player_pos_code")
+    codes = first_seen_codes(train, "player_position", "row_id")
+    return category_code_vocab(frames, codes).select("row_id", "player_position", "player_pos_code")
 
 
 def _features_select() -> list[Column]:

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frametide.functions.encoders import VOCAB_LITERAL_LIMIT, category_code_vocab
+from frametide.functions.encoders import category_code_vocab
 from frametide.operators import models as M
 from frametide.operators.features import clean_features, prepare_features, select_features
 from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
@@ -87,13 +87,13 @@ def build_training_rows(
 
 
 def profile_rows(
-    rows: DataFrame, sample_keys: Sequence[str], seed: int, order_col: str | None, vocab_limit: int = VOCAB_LITERAL_LIMIT
+    rows: DataFrame, sample_keys: Sequence[str], seed: int, order_col: str | None
 ) -> tuple[list[tuple[str, int]], list[str] | None]:
     """One aggregation pass over the training rows (grouping sets, i.e. one
     Expand + partial aggregation) giving both the sample-hash prefix
     histogram and the position vocabulary: first-appearance order by
-    ``order_col`` when given, else sorted. At most 65 536 prefix rows plus
-    ``vocab_limit + 1`` position rows reach the driver."""
+    ``order_col`` when given, else sorted. At most 65 536 prefix rows and the
+    distinct positions, which the model record lists, reach the driver."""
     hashed = rows.withColumn("_prefix", F.substring(key_hash(sample_keys, seed), 1, PREFIX_DIGITS))
     has_position = POSITION_COLUMN in rows.columns
     if not has_position:
@@ -102,13 +102,11 @@ def profile_rows(
     stats = hashed.groupingSets([["_prefix"], [POSITION_COLUMN]], "_prefix", POSITION_COLUMN).agg(
         F.count(F.lit(1)).alias("n"), first.alias("first"), F.grouping_id().alias("g")
     )
-    collected = stats.limit(16 ** PREFIX_DIGITS + vocab_limit + 2).collect()
+    collected = stats.collect()
     hist = sorted((r["_prefix"], r["n"]) for r in collected if r["g"] == 1)
     positions = [r for r in collected if r["g"] == 2 and r[POSITION_COLUMN] is not None]
     if not has_position:
         return hist, None
-    if len(positions) > vocab_limit:
-        raise ValueError(f"{POSITION_COLUMN} has more than {vocab_limit} distinct values")
     if order_col:
         vocab = [r[POSITION_COLUMN] for r in sorted(positions, key=lambda r: (r["first"], r[POSITION_COLUMN]))]
     else:
@@ -139,11 +137,11 @@ def train(
     tiebreak = [order_col] if order_col else []
     rows = build_training_rows(inputs, outputs, None, tiebreak, feature_columns, hot_group_rows, encode=False)
     sample_keys = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
-    # Pass 1: one aggregation yields the row count, the sample boundary and
-    # the position vocabulary. Pass 2 (the checkpoint below) materialises the
-    # exact sample with its position codes.
+    # Pass 1: one aggregation yields the row count, the sample's hash histogram
+    # and the position vocabulary. Pass 2 settles the rows up to the boundary
+    # bucket; what is left of it is cut off from there.
     hist, vocab = profile_rows(rows, sample_keys, seed, order_col)
-    sampled, n_clean = sample_from_histogram(rows, hist, max_rows, sample_keys, seed)
+    sampled, n_clean = sample_from_histogram(rows, hist, max_rows, sample_keys, seed, settle=True)
     if CODE_COLUMN in feature_columns:
         sampled = category_code_vocab(sampled, vocab or [])
     sampled = sampled.select(*sample_keys, *feature_columns)
@@ -152,8 +150,8 @@ def train(
     # folder: fitting and evaluation read them without re-running the join
     # and the sample, and a lost executor does not trigger that either.
     # The split hashes with a seed of its own: the sample is the low end of
-    # its hash order, so the same hash would put all of it on one side. The
-    # exact sample ends in one task; fitting wants it spread out again.
+    # its hash order, so the same hash would put all of it on one side. A sample
+    # of few rows may lie in few partitions; fitting wants it spread out.
     spread = sampled.repartition(max(1, inputs.sparkSession.sparkContext.defaultParallelism))
     split = M.durable(train_val_split(spread, sample_keys, test_size=test_size, seed=seed + SPLIT_SEED_STEP))
     if weights is None and set(families) == set(M.DEFAULT_WEIGHTS):

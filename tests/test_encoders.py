@@ -9,6 +9,7 @@ from frametide.functions.encoders import (
     dense_index,
     fit_first_seen_vocabulary,
     fit_sorted_vocabulary,
+    lazy_index,
 )
 
 
@@ -20,6 +21,7 @@ def test_sorted_codes(spark):
     # L4: alphabetical codes, null -> -1
     got = [r[0] for r in category_code_sorted(_positions(spark)).orderBy("row_id").select("player_pos_code").collect()]
     assert got == [2, 0, -1, 1, 2]
+    assert fit_sorted_vocabulary(_positions(spark), "player_position") == ["CB", "TE", "WR"]
 
 
 def test_first_seen_codes(spark):
@@ -39,15 +41,60 @@ def test_absent_column_code_zero(spark):
     assert category_code_sorted(df).first()["player_pos_code"] == 0
 
 
-def test_large_vocabulary_falls_back_to_distributed_ranking(spark):
-    df = spark.range(0, 500).select(F.format_string("v%04d", ((F.col("id") * 37) % 500)).alias("player_position"), F.col("id").alias("row_id"))
-    assert fit_sorted_vocabulary(df, "player_position", limit=100) is None
-    coded = category_code_sorted(df, limit=100)
-    got = {r["player_position"]: r["player_pos_code"] for r in coded.collect()}
-    assert got == {f"v{i:04d}": i for i in range(500)}
-    first = category_code_first_seen(df, order_col="row_id", limit=100)
-    seen = {r["player_position"]: r["player_pos_code"] for r in first.collect()}
-    assert seen == {f"v{(i * 37) % 500:04d}": i for i in range(500)}
+N_POSITIONS = 50_000
+
+
+def _many_positions(spark):
+    value = F.format_string("v%05d", (F.col("id") * 37) % N_POSITIONS)
+    return spark.range(0, N_POSITIONS).select(value.alias("player_position"), F.col("id").alias("row_id"))
+
+
+def test_many_values_are_coded(spark):
+    df = _many_positions(spark)
+    by_value = category_code_sorted(df).where(F.col("player_pos_code") != F.substring("player_position", 2, 5).cast("int"))
+    assert by_value.count() == 0
+    assert category_code_first_seen(df, order_col="row_id").where(F.col("player_pos_code") != F.col("row_id")).count() == 0
+    vocabulary = [f"v{i:05d}" for i in range(N_POSITIONS - 1, 0, -1)]
+    coded = category_code_vocab(df, vocabulary).withColumn("n", F.substring("player_position", 2, 5).cast("int"))
+    assert coded.where(F.col("player_pos_code") != F.when(F.col("n") == 0, -1).otherwise(N_POSITIONS - 1 - F.col("n"))).count() == 0
+
+
+def test_building_a_query_starts_no_job(spark):
+    from frametide.operators.features import prepare_features, xy_legacy_features
+    from frametide.operators.metrics import distinct_in_order
+
+    frame = ["x", "y", "s", "a", "dir", "num_frames_output", "absolute_yardline_number"]
+    df = _many_positions(spark).withColumns({c: F.col("row_id") * 1.0 for c in frame})
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        built = [
+            category_code_sorted(df),
+            category_code_first_seen(df),
+            category_code_vocab(df, ["a"] * 100),
+            prepare_features(df)[0],
+            prepare_features(df, encoder="first_seen", order_col="row_id")[0],
+            xy_legacy_features(df),
+            distinct_in_order(df, "player_position", "row_id"),
+        ]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        assert all(b.count() == N_POSITIONS for b in built)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lazy_index_over_order_types(spark):
+    import random
+
+    rng = random.Random(3)
+    values = [rng.choice(["", "a", "ab", "abc", "b\u00e9", "\U0001f600", "zz"]) + str(rng.randrange(900)) for _ in range(800)]
+    rows = [(v, rng.randrange(-(10**6), 10**6) if i % 50 else None, float(i % 9)) for i, v in enumerate(dict.fromkeys(values))]
+    df = spark.createDataFrame(rows, "v string, n bigint, d double").withColumn("t", F.timestamp_seconds(F.col("n")))
+    for order in (["v"], ["n", "v"], ["d", "v"], ["t", "v"]):
+        got = [(r["code"], r["v"]) for r in lazy_index(df.repartition(5), order).collect()]
+        at = [("v", "n", "d", "n")["vndt".index(order[0])], "v"]
+        name = {"v": 0, "n": 1, "d": 2}
+        want = sorted(rows, key=lambda r: [(r[name[c]] is not None, r[name[c]].encode() if isinstance(r[name[c]], str) else r[name[c]]) for c in at])
+        assert [v for _, v in sorted(got)] == [r[0] for r in want]
 
 
 def test_dense_index_matches_global_rank(spark):
