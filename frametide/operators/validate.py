@@ -173,28 +173,26 @@ def submission_report(
     submission: DataFrame, test: DataFrame, columns: Sequence[str] = PREDICTION_COLUMNS, id_col: str = ROW_ID
 ) -> DataFrame:
     """V8: one row - expected vs delivered rows, unknown/missing ids and
-    non-finite values; ``valid`` is the conjunction."""
-    sub = submission.select(id_col, *columns).withColumn("_sub", F.lit(True))
-    exp = test.select(id_col).withColumn("_exp", F.lit(True))
-    joined = exp.join(sub, id_col, "full")
+    non-finite values; ``valid`` is the conjunction, every id delivered as
+    often as it is expected."""
     bad = F.lit(False)
     for c in columns:
         col = F.col(c).cast("double")
         bad = bad | col.isNull() | F.isnan(col) | (F.abs(col) == F.lit(float("inf")))
+    sub = submission.groupBy(id_col).agg(F.count(F.lit(1)).alias("_sub"), F.count_if(bad).alias("_bad"))
+    exp = test.groupBy(id_col).agg(F.count(F.lit(1)).alias("_exp"))
+    joined = exp.join(sub, id_col, "full")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     report = joined.agg(
-        F.count_if(F.col("_exp").isNotNull()).alias("n_expected"),
-        F.count_if(F.col("_sub").isNotNull()).alias("n_rows"),
-        F.count_if(F.col("_sub").isNull()).alias("n_missing"),
-        F.count_if(F.col("_exp").isNull()).alias("n_unexpected"),
-        F.count_if(F.col("_sub").isNotNull() & bad).alias("n_not_finite"),
-    )
-    valid = (
-        (F.col("n_expected") == F.col("n_rows"))
-        & (F.col("n_missing") == 0)
-        & (F.col("n_unexpected") == 0)
-        & (F.col("n_not_finite") == 0)
+        total("_exp").alias("n_expected"),
+        total("_sub").alias("n_rows"),
+        total(F.when(F.col("_sub").isNull(), F.col("_exp"))).alias("n_missing"),
+        total(F.when(F.col("_exp").isNull(), F.col("_sub"))).alias("n_unexpected"),
+        total("_bad").alias("n_not_finite"),
+        F.count_if(~F.col("_exp").eqNullSafe(F.col("_sub"))).alias("_uneven"),
     )
-    return report.withColumn("valid", valid)
+    valid = (F.col("_uneven") == 0) & (F.col("n_not_finite") == 0)
+    return report.withColumn("valid", valid).drop("_uneven")
 
 
 def classify_failure(report: DataFrame) -> DataFrame:

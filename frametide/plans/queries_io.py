@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from frametide.functions.keys import week_from_filename
 from frametide.operators import joins
+from frametide.operators.validate import ValidationError
 from frametide.plans.fixtures import frames_events, labels_events, test_events, test_input_events, with_views
 from frametide.plans.registry import register
 from frametide.session import staging_path
-from frametide.sources import files, headers, sinks
+from frametide.sources import files, headers, sinks, validated
 
 PERSIST_SQL = (
     "SELECT t.id, i.x, i.y FROM test_events AS t "
@@ -248,7 +249,6 @@ def sink_result_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 (+ V8, V11): validate the persistence submission, write the status
     record and read it back (one row)."""
     from frametide.plans.score import validate_submission
-    from frametide.operators.validate import ValidationError
 
     test = test_events(spark, sf_dir)
     preds = joins.persistence_baseline(test, test_input_events(spark, sf_dir))
@@ -262,6 +262,50 @@ def sink_result_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(sinks.RESULT).json(path)
 
 
+_SINK_CASES = {
+    "as_is": ("true", "x"),
+    "filled": ("true", "coalesce(x, 0)"),
+    "short": ("id NOT LIKE '%7'", "coalesce(x, 0)"),
+}
+
+
+def _sink_case_sql(case: str, keep: str, x: str) -> str:
+    chosen = f"(SELECT id, {x} AS x, coalesce(y, 0) AS y FROM ({PERSIST_SQL}) AS p WHERE {keep})"
+    return (
+        f"SELECT '{case}' AS attempt, (SELECT count(*) FROM test_events) AS n_expected, count(*) AS n_rows, "
+        "(SELECT count(*) FROM test_events) - count(*) AS n_missing, 0 AS n_unexpected, count_if(x IS NULL) AS n_not_finite "
+        f"FROM {chosen} AS c"
+    )
+
+
+@register(
+    "sink_validated",
+    with_views("test_events", "test_input_events")
+    + ", r AS ("
+    + " UNION ALL ".join(_sink_case_sql(c, *v) for c, v in _SINK_CASES.items())
+    + ") SELECT attempt, n_expected, n_rows, n_missing, CAST(n_unexpected AS BIGINT) AS n_unexpected, n_not_finite, "
+    "CASE WHEN n_missing = 0 AND n_not_finite = 0 THEN n_rows ELSE 0 END AS n_published FROM r",
+)
+def sink_validated_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + V1, V2, V4-V6, V8: three submissions sent to the one-pass validated
+    sink, as the model-free baseline gives them, with gaps filled, and with
+    rows left out; what the sink counted, and the rows it then published."""
+    test, seen_input = test_events(spark, sf_dir), test_input_events(spark, sf_dir)
+    rows = []
+    for case, (keep, x) in _SINK_CASES.items():
+        measured, seen = validated.observe_ids(test)
+        preds = joins.persistence_baseline(measured, seen_input).where(keep).selectExpr("id", f"{x} AS x", "coalesce(y, 0) AS y")
+        path = staging_path(spark, "validated")
+        try:
+            report = validated.write_validated(preds, test, path, seen)
+        except ValidationError as err:
+            report = dict(part.split("=") for part in err.details.split(", "))
+        published = files.scan_parquet_or_empty(spark, path, preds.schema).count()
+        rows.append((case, *[int(report[k]) for k in validated.REPORT_FIELDS], published))
+    names = ", ".join(f"{k} bigint" for k in (*validated.REPORT_FIELDS, "n_published"))
+    return spark.createDataFrame(rows, f"attempt string, {names}")
+
+
 @register("frame_parquet_lz4", with_views("frames_events") + "SELECT * FROM frames_events")
 def frame_parquet_lz4_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frame table through lz4-compressed parquet and back."""

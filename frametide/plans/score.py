@@ -21,6 +21,7 @@ from frametide.operators.validate import (
     submission_report,
 )
 from frametide.schemas import FRAME_KEYS, ROW_ID
+from frametide.sources.validated import observe_ids, report_details, write_validated
 
 
 def score_test(
@@ -65,12 +66,15 @@ def validate_submission(predictions: DataFrame, test: DataFrame, id_col: str = R
     return report
 
 
-REPORT_FIELDS = ("n_expected", "n_rows", "n_missing", "n_unexpected", "n_not_finite")
-
-
-def report_details(report: dict) -> str:
-    """Error details of a failed submission report: ``key=value`` pairs."""
-    return ", ".join(f"{k}={report[k]}" for k in REPORT_FIELDS)
+def score_to(
+    test: DataFrame, test_input: DataFrame, bundle: M.ModelBundle, path: str, id_col: str = ROW_ID
+) -> dict:
+    """M9 + V1-V6, V8 + S8 in one pass: test rows are read and scored once,
+    measured on the way, and published at ``path`` only when valid; returns
+    the submission report."""
+    check_required_column(test, id_col)
+    measured, seen = observe_ids(test, id_col)
+    return write_validated(score_test(measured, test_input, bundle, id_col=id_col), test, path, seen, id_col)
 
 
 def score_request(spark: SparkSession, input_path: str, model_path: str, id_col: str = ROW_ID) -> DataFrame:
@@ -88,7 +92,7 @@ def score_request(spark: SparkSession, input_path: str, model_path: str, id_col:
 def main(argv: Sequence[str] | None = None) -> None:
     from frametide.session import build_session
     from frametide.sources.files import scan_gateway
-    from frametide.sources.sinks import write_result_json, write_submission_parquet
+    from frametide.sources.sinks import write_result_json
 
     ap = argparse.ArgumentParser(description="Score test rows with a saved model")
     ap.add_argument("--data-dir", default=".")
@@ -100,11 +104,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     error = None
     try:
         test, test_input = scan_gateway(spark, args.data_dir)
-        # Materialised once in the shared checkpoint folder, then validated
-        # and written from there (no second scoring pass).
-        preds = M.durable(score_test(test, test_input, M.load_bundle(spark, args.model)))
-        validate_submission(preds, test)
-        write_submission_parquet(preds, args.output)
+        score_to(test, test_input, M.load_bundle(spark, args.model), args.output)
     except Exception as exc:  # any failure leaves a status record, then the exit code tells
         error = exc
     write_result_json(spark, args.result, error)

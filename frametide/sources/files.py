@@ -115,6 +115,16 @@ def scan_json_rows(spark: SparkSession, path: str, schema: T.StructType = TRACKI
         return empty(spark, schema)
 
 
+def scan_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A parquet folder, or no rows where there is none."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if not _missing_path(err):
+            raise
+        return empty(spark, schema)
+
+
 def write_weekly_csv(df: DataFrame, root: str, prefix: str, week: str = "week", year: int = 2023) -> str:
     """Lay a frame table out as weekly CSV files ``<prefix>_<year>_wNN.csv``
     - the fixed weekly naming the scans expect - as one directory of part
