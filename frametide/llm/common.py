@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,15 @@ def start(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect frames that nothing refers to any more. Spark then
+    removes their shuffle files, and their checkpoints where
+    spark.cleaner.referenceTracking.cleanCheckpoints says so; on its own it would
+    wait until the driver runs short of memory."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

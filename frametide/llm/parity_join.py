@@ -17,7 +17,7 @@ Hamming bound of 1024-bit sketches, then the exact intersection.
 Defined cases: null, empty and blank texts have no shingles and link with
 nothing (component_id is their doc_id); fewer words than a shingle has are one;
 a null doc_id stays out of a component's minimum (its own component_id is null
-unless a linked row has an id); repeated rows are rows of one class; equal
+unless a linked row has an id), but its text links others; repeated rows are rows of one class; equal
 sizes and ties order by set hash. Sets are identified by 64-bit hashes.
 """
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frametide.llm.common import flat_text, fresh, mixed, passes, random_table, typed
+from frametide.llm.common import flat_text, fresh, mixed, passes, random_table, release, typed
 
 #: Words of a shingle (up to 16) and Jaccard threshold in percent of the op10 query.
 SHINGLE = 4
@@ -42,6 +42,8 @@ SKETCH_WORDS = 16
 SPARE = 0.2
 #: Key groups of this many sets or more may be dropped by a set that has keys to spare.
 LARGE = 16
+#: Keys in a bucket, roughly (18 bytes each); a task takes two buckets.
+BUCKET_KEYS = 1_000_000
 #: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
 BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once (some forty bytes of arrays each); a longer text is a pass of its own.
@@ -269,16 +271,18 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"g": np.repeat(name, size)[rows].view(np.int64), "id": i[rows], "slot": slot[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
 
 
-def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(g, id): sets that share a key.
+def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, keys: int = 0) -> DataFrame:
+    """(g, id): sets that share a key; ``keys``: how many are dealt, roughly.
 
     A set of which m keys at least agree with any linked one leaves its m - 1
     largest groups. The smallest group of two linked sets survives on both
     sides: m - 1 others that they share are larger. So very common pieces,
     which many unrelated sets share, bring no pairs, and no link is lost."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), keys // (2 * BUCKET_KEYS))
     dealt = docs.select("text").mapInArrow(_deal(2 * parts, shingle, percent), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
     met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, slot smallint, size bigint").checkpoint()
+    del dealt
+    release(docs.sparkSession)
     large = F.col("size") >= LARGE
     place = F.row_number().over(Window.partitionBy("id", "slot").orderBy(F.desc("size"), "g"))
     rest = met.where(large).withColumn("place", place).where(F.col("place") >= F.floor(F.col("slot") / 2))
@@ -315,7 +319,7 @@ def _verify(percent: int):
 
 
 def _side(sets: DataFrame, c: str) -> DataFrame:
-    return sets.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("doc_id").alias(f"d{c}"), *[F.col(f"k{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)])
+    return sets.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("row").alias(f"d{c}"), *[F.col(f"k{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)])
 
 
 def _within_bound(percent: int):
@@ -330,8 +334,10 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int =
     intersection. Only one document per set involved is shingled again."""
     near = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_within_bound(percent))
     near = near.select("a", "b", "da", "db").checkpoint()
-    want = near.select(F.col("a").alias("want"), F.col("da").alias("doc_id")).union(near.select("b", "db")).distinct()
-    packed = docs.select("doc_id", "text").join(if_small(want), "doc_id").select("want", "text").mapInArrow(_pack(shingle), "id bigint, packed binary")
+    want = near.select(F.col("a").alias("want"), "da.*").union(near.select("b", "db.*")).distinct()
+    want = if_small(want.select("want", F.col("doc_id").alias("want_doc"), F.col("text_id").alias("want_text")))
+    row = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_text"))
+    packed = docs.select("doc_id", "text").join(want, row).select("want", "text").mapInArrow(_pack(shingle), "id bigint, packed binary")
     packed = packed.groupBy("id").agg(F.first("packed").alias("packed")) if _repeats(docs) else packed
     both = near.select("a", "b").join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a bigint, b bigint")
@@ -345,8 +351,8 @@ def if_small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def _repeats(docs: DataFrame) -> bool:
-    """Whether an id occurs twice, so that a set could come from two rows."""
-    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    """Whether a row occurs twice, so that a set could come from two rows."""
+    return not docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -361,6 +367,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.union(low).distinct().checkpoint()
+        del both, low, large, small
+        release(edges.sparkSession)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             return e.select(F.col("u").alias("id"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
@@ -381,10 +389,13 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def rooted(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_id, n_shingles and the class's root set per row of ``docs``."""
+    spark = docs.sparkSession
     rows = digests(docs, shingle).checkpoint()
-    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min("doc_id").alias("doc_id"))
-    named = docs.where("doc_id is not null")
-    groups = key_groups(named, shingle, percent).distinct().checkpoint()
+    sets = rows.where("n_shingles > 0").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min(F.struct("doc_id", "text_id")).alias("row")).checkpoint()
+    # A set has about as many keys as it may differ in from the smallest linked one.
+    keys = sets.agg(F.sum(F.col("n_shingles") * (100 - percent) * (1 + SPARE) / percent + 2)).first()[0] or 0
+    groups = key_groups(docs, shingle, percent, int(keys)).distinct().checkpoint()
+    release(spark)
     roots, at = None, groups.withColumn("root", F.col("id"))
     for meet_all in (False, True):
         # First the smallest of all leaders; then, in every group, a leader of the group's own: as many pairs as group rows.
@@ -394,14 +405,18 @@ def rooted(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
         if not meet_all:
             stars = stars.groupBy("id").agg(F.min("other").alias("other"))
         stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        roots = merged(roots, verified(stars, sets, named, shingle, percent))
+        roots = merged(roots, verified(stars, sets, docs, shingle, percent))
+        del lead, stars, at
+        release(spark)
         at = groups.join(roots, "id", "left").select("g", "id", F.coalesce("root", "id").alias("root"))
     open_groups = at.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("g")
     at = at.join(open_groups, "g").checkpoint()
     left = at.select("g", F.col("id").alias("a"), F.col("root").alias("ra")).join(_side(sets, "a").drop("da"), "a")
     right = at.select("g", F.col("id").alias("b"), F.col("root").alias("rb")).join(_side(sets, "b").drop("db"), "b")
     rest = left.join(right, (left["g"] == right["g"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within_bound(percent)).select("a", "b").distinct()
-    roots = merged(roots, verified(rest, sets, named, shingle, percent))
+    roots = merged(roots, verified(rest, sets, docs, shingle, percent))
+    del left, right, rest, at, open_groups, groups
+    release(spark)
     rows = rows.select("doc_id", "text_id", "n_shingles", "set_id").join(roots.withColumnRenamed("id", "set_id"), "set_id", "left")
     return rows.select("doc_id", "text_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
 

@@ -273,3 +273,16 @@ def test_empty_tables(spark):
     assert pii.report(pii.extract(none)).count() == 0
     found = secrets.scan(none).checkpoint()
     assert secrets.report(found, secrets.infer(found)).count() == 0
+
+
+def test_parity_join_links_through_rows_without_an_id(spark):
+    """Two documents that are linked only through a text whose id is null."""
+    start(spark)
+    middle = [f"c{i}" for i in range(120)]
+    a, between, c = (" ".join(w) for w in ([*(f"d{i}" for i in range(6)), *middle[6:]], middle, [*middle[:-9], *(f"e{i}" for i in range(9))]))
+    grams = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in map(words, (a, between, c))]
+    near = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
+    assert near(grams[0], grams[1]) and near(grams[1], grams[2]) and not near(grams[0], grams[2])
+    rows = [(7, a), (None, between), (9, c), (None, "alone " + BASE), (4, "other " * 9)]
+    got = parity_join.join_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r["doc_id"] or 0), r["component_id"]) for r in got if r["component_id"]) == [(0, 7), (4, 4), (7, 7), (9, 7)]
