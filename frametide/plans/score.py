@@ -21,6 +21,7 @@ from frametide.operators.validate import (
     submission_report,
 )
 from frametide.schemas import FRAME_KEYS, ROW_ID
+from frametide.sources.catalogue import resolve_model
 from frametide.sources.validated import observe_ids, report_details, write_validated
 
 
@@ -79,14 +80,15 @@ def score_to(
 
 def score_request(spark: SparkSession, input_path: str, model_path: str, id_col: str = ROW_ID) -> DataFrame:
     """Score a JSON-lines (or CSV) request file with the model at
-    ``model_path``; swapping models is just another path."""
+    ``model_path``; swapping models is just another path, and
+    ``<folder>/latest`` the newest whole model of a folder."""
     from frametide.sources.files import scan_json_rows
     from frametide.schemas import TRACKING_INPUT
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField(id_col, T.StringType()), *TRACKING_INPUT.fields])
     rows = scan_json_rows(spark, input_path, schema)
-    return score_rows(rows, M.load_bundle(spark, model_path), id_col)
+    return score_rows(rows, M.load_bundle(spark, resolve_model(spark, model_path)), id_col)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -96,7 +98,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     ap = argparse.ArgumentParser(description="Score test rows with a saved model")
     ap.add_argument("--data-dir", default=".")
-    ap.add_argument("--model", required=True)
+    ap.add_argument("--model", required=True, help="a saved model, or <folder>/latest for its newest whole one")
     ap.add_argument("--output", default="submission.parquet")
     ap.add_argument("--result", default="result.json")
     args = ap.parse_args(argv)
@@ -104,7 +106,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     error = None
     try:
         test, test_input = scan_gateway(spark, args.data_dir)
-        score_to(test, test_input, M.load_bundle(spark, args.model), args.output)
+        score_to(test, test_input, M.load_bundle(spark, resolve_model(spark, args.model)), args.output)
     except Exception as exc:  # any failure leaves a status record, then the exit code tells
         error = exc
     write_result_json(spark, args.result, error)

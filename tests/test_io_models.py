@@ -66,6 +66,30 @@ def test_model_beats_mean_predictor(spark, trained):
     assert set(trained.bundle.metrics) >= {"a_rmse_x", "b_rmse_y", "combined_rmse"}
 
 
+def test_newest_whole_model_is_scored(spark, trained, tmp_path):
+    import shutil
+
+    from frametide.plans.score import score_request
+    from frametide.sources.catalogue import model_catalogue, newest_model, resolve_model
+
+    root = str(tmp_path / "models")
+    versions = ["20240101_000000", "20240202_000000", "20240303_000000", "20240404_000000"]
+    paths = [M.save_bundle(spark, trained.bundle, root, v) for v in versions]
+    shutil.rmtree(next((tmp_path / "models").glob(f"ensemble_v{versions[2]}/model/stages/2_*/data")))
+    shutil.rmtree(f"{paths[3]}/metadata")
+    (tmp_path / "models" / "ensemble_vnotes").mkdir()
+    got = {r["version"][-15:]: (r["n_stages"], r["n_stages_found"], r["required_keys"], r["complete"]) for r in model_catalogue(spark, root).collect()}
+    assert got == {versions[0]: (5, 5, True, True), versions[1]: (5, 5, True, True), versions[2]: (5, 4, True, False), versions[3]: (5, 5, False, False)}
+    assert newest_model(spark, root) == paths[1] == resolve_model(spark, f"{root}/latest") and resolve_model(spark, paths[0]) == paths[0]
+    requests = staging_path(spark, "t-latest")
+    fx.frames_events(spark, SF_SMALL).withColumn("id", F.col("row_id").cast("string")).write.json(requests)
+    by_name = score_request(spark, requests, paths[1]).orderBy("id").collect()
+    assert score_request(spark, requests, f"{root}/latest").orderBy("id").collect() == by_name
+    assert model_catalogue(spark, str(tmp_path / "none")).collect() == []
+    with pytest.raises(FileNotFoundError):
+        newest_model(spark, str(tmp_path / "none"))
+
+
 def test_saved_bundle_scores_identically(spark, trained):
     test, ti = fx.test_events(spark, SF_SMALL), fx.test_input_events(spark, SF_SMALL)
     a = score_test(test, ti, trained.bundle).orderBy("id").collect()
