@@ -25,6 +25,7 @@ from frametide.plans.registry import register
 from frametide.plans.train import train
 from frametide.schemas import FRAME_KEYS
 from frametide.session import staging_path
+from frametide.sources.layout import PlayStore
 from frametide.streaming.play_stream import play_batches, score_stream, write_play_files
 
 CHECK_ITERATIONS = 20
@@ -149,14 +150,15 @@ def score_test_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def score_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test files (whole plays per file) streamed with availableNow,
-    each micro-batch scored, validated and appended; per id of the sink whether x and y are finite
+    each micro-batch scored against the stored frames of its plays, validated and appended; per id of the sink whether x and y are finite
     and equal to the batch score."""
     bundle = _saved_bundle(spark, sf_dir)
     test = test_events(spark, sf_dir)
     root = staging_path(spark, "stream")
-    write_play_files(test, f"{root}/source")
+    write_play_files(test, f"{root}/source", files_per_batch=8)
+    store = PlayStore(f"{root}/inputs", buckets=32).write(test_input_events(spark, sf_dir))
     score_stream(
-        spark, f"{root}/source", test.schema, test_input_events(spark, sf_dir), bundle,
+        spark, f"{root}/source", test.schema, store, bundle,
         f"{root}/sink", f"{root}/checkpoint", max_files_per_trigger=2,
     )
     sink = spark.read.parquet(f"{root}/sink")

@@ -2,7 +2,7 @@
 
 Test rows arrive as files, each holding whole plays. A Structured Streaming
 file source picks them up; every micro-batch is scored by the batch plan
-(M9) against the static input frames, validated, and appended to a parquet
+(M9) against the input frames of its plays, validated, and appended to a parquet
 sink. ``availableNow`` processes everything present and stops, with progress
 kept in a checkpoint under the shared checkpoint folder, so a restarted job
 resumes where it stopped and never scores a file twice.
@@ -23,12 +23,15 @@ from frametide.functions.keys import play_key
 from frametide.operators import models as M
 from frametide.operators.validate import ErrorType, ValidationError, check_columns, submission_report
 from frametide.schemas import PLAY_KEYS, ROW_ID
+from frametide.sources.layout import PlayStore
 
 
-def write_play_files(test: DataFrame, root: str, keys: Sequence[str] = PLAY_KEYS, files_per_batch: int = 8) -> str:
+def write_play_files(test: DataFrame, root: str, keys: Sequence[str] = PLAY_KEYS, files_per_batch: int | None = None) -> str:
     """Lay test rows out as parquet files that each hold whole plays
-    (hash-partitioned by play key, one write job)."""
-    test.repartition(files_per_batch, *keys).write.mode("overwrite").parquet(root)
+    (hash-partitioned by play key, one write job): ``files_per_batch`` of them, or as
+    many as their size asks for."""
+    dealt = test.repartition(files_per_batch, *keys) if files_per_batch else test.repartition(*keys)
+    dealt.write.mode("overwrite").parquet(root)
     return root
 
 
@@ -36,7 +39,7 @@ def score_stream(
     spark: SparkSession,
     source_dir: str,
     schema: T.StructType,
-    test_input: DataFrame,
+    test_input: DataFrame | PlayStore,
     bundle: M.ModelBundle,
     sink_dir: str,
     checkpoint: str,
@@ -45,7 +48,8 @@ def score_stream(
 ) -> None:
     """availableNow stream of test files -> scored, validated batches
     written to ``sink_dir/batch_id=<n>``. Raises INVALID_SUBMISSION if a
-    batch fails."""
+    batch fails. Input frames kept in a :class:`PlayStore` are read by the
+    buckets of each batch's plays; a DataFrame is read whole for every batch."""
     from frametide.plans.score import score_test
 
     stream = (
@@ -57,7 +61,8 @@ def score_stream(
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # Scored once, validated, then appended: the batch's predictions are
         # kept (memory, spilling to disk) between the check and the write.
-        preds = score_test(batch, test_input, bundle, id_col=id_col).persist(StorageLevel.MEMORY_AND_DISK)
+        frames = test_input.of(batch) if isinstance(test_input, PlayStore) else test_input
+        preds = score_test(batch, frames, bundle, id_col=id_col).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             check_columns(preds, id_col=id_col)
             report = submission_report(preds, batch, id_col=id_col).first()

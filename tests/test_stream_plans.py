@@ -6,6 +6,7 @@ from frametide.operators import models as M
 from frametide.plans import fixtures as fx
 from frametide.plans.score import score_test
 from frametide.plans.train import train
+from frametide.schemas import PLAY_KEYS
 from frametide.session import staging_path
 from frametide.streaming.play_stream import play_batches, score_stream, write_play_files
 from tests.conftest import SF_SMALL
@@ -88,3 +89,38 @@ def test_label_filter_and_columns_reach_the_scan(spark):
     assert "EqualTo(l_linestatus,F)" in plan
     read = plan[plan.index("ReadSchema: "):].split("\n")[0]
     assert "l_tax" not in read and "l_shipdate" not in read
+
+
+def test_a_batch_reads_the_buckets_of_its_plays(spark):
+    from frametide.sources.layout import PlayStore
+
+    test, ti = fx.test_events(spark, SF_SMALL), fx.test_input_events(spark, SF_SMALL)
+    store = PlayStore(staging_path(spark, "t-plays"), buckets=16).write(ti)
+    whole = spark.read.parquet(store.root).inputFiles()
+    plays = [r for r in test.select(*PLAY_KEYS).distinct().orderBy(*PLAY_KEYS).collect()]
+    read = []
+    for n in (1, 3, len(plays)):
+        batch = test.join(spark.createDataFrame(plays[:n], test.select(*PLAY_KEYS).schema), PLAY_KEYS, "left_semi")
+        frames = store.of(batch)
+        assert set(frames.columns) == set(ti.columns)
+        read.append(len(frames.select("x", F.input_file_name().alias("f")).select("f").distinct().collect()))
+        want = ti.join(batch.select(*PLAY_KEYS).distinct(), PLAY_KEYS, "left_semi").select(*ti.columns)
+        got = frames.join(batch.select(*PLAY_KEYS).distinct(), PLAY_KEYS, "left_semi").select(*ti.columns)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert read[0] == 1 and read[0] < read[1] <= 3 * read[0] and read[-1] <= len(whole)
+    assert store.of(test.where("false")).count() == 0
+    empty = PlayStore(staging_path(spark, "t-none"), buckets=4).write(ti.where("false"))
+    assert empty.of(test).collect() == [] and set(empty.of(test).columns) == set(ti.columns)
+
+
+def test_stream_over_a_play_store_equals_batch(spark):
+    from frametide.sources.layout import PlayStore
+
+    result = train(spark, fx.frames_events(spark, SF_SMALL), fx.labels_events(spark, SF_SMALL), order_col="row_id", max_iter=2)
+    test, ti = fx.test_events(spark, SF_SMALL), fx.test_input_events(spark, SF_SMALL)
+    root = staging_path(spark, "t-stream-store")
+    write_play_files(test, f"{root}/source", files_per_batch=4)
+    store = PlayStore(f"{root}/inputs", buckets=8).write(ti)
+    score_stream(spark, f"{root}/source", test.schema, store, result.bundle, f"{root}/sink", f"{root}/ckpt", 1)
+    batch = {r["id"]: (r["x"], r["y"]) for r in score_test(test, ti, result.bundle).collect()}
+    assert {r["id"]: (r["x"], r["y"]) for r in spark.read.parquet(f"{root}/sink").collect()} == batch
