@@ -42,7 +42,9 @@ SKETCH_WORDS = 16
 SPARE = 0.2
 #: Key groups of this many sets or more may be dropped by a set that has keys to spare.
 LARGE = 16
-#: Keys in a bucket, roughly (18 bytes each); a task takes two buckets.
+#: Bytes of a key beyond its bucket; keys that agree by chance only cost a comparison.
+KEY_BYTES = 5
+#: Keys in a bucket, roughly (14 bytes each with id and slot); a task takes two buckets.
 BUCKET_KEYS = 1_000_000
 #: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
 BROADCAST_ROWS = 400_000
@@ -175,7 +177,7 @@ def keys_of(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     out = [piece_keys(s, band, percent)] if most_different(band, percent) else [(s[:0], 0)]
     if band and most_different(band - 1, percent) and percent * n <= 100 * (int(bands(percent)[band]) - 1):
         out.append(piece_keys(s, band - 1, percent))
-    slots = [np.full(len(k), min(2 * m, 1 << 14) + i, np.int16) for i, (k, m) in enumerate(out)]
+    slots = [np.full(len(k), min(2 * m, 254) + i, np.uint8) for i, (k, m) in enumerate(out)]
     return np.concatenate([k for k, _ in out]), np.concatenate(slots)
 
 
@@ -211,6 +213,23 @@ def digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(_digest(shingle), typed(docs, ["doc_id"], ddl))
 
 
+def _low(bucket: int, buckets: int) -> int:
+    """The smallest key in a bucket."""
+    return -(-(bucket << 32) // buckets) << 32
+
+
+def _short(k: np.ndarray, bucket: int, buckets: int) -> bytes:
+    """Keys of a bucket as the 40 bits that follow those which name the bucket."""
+    rest = (k - np.uint64(_low(bucket, buckets))) >> np.uint64(max(0, 25 - buckets.bit_length()))
+    return rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _long(packed: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(packed) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = packed.reshape(-1, KEY_BYTES)
+    return wide.view("<u8").reshape(-1)
+
+
 def _deal(buckets: int, shingle: int, percent: int):
     """Keys, set ids and slots of a batch as one row of packed arrays per
     bucket: a million keys cost a few hundred rows. Equal sets of a batch count once."""
@@ -233,17 +252,19 @@ def _deal(buckets: int, shingle: int, percent: int):
             bucket = ((k >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
             to = np.append(at[1:], len(k))
-            packed = [pa.array([x[a:b].tobytes() for a, b in zip(at, to, strict=True)], pa.binary()) for x in (k, i, slot)]
-            yield pa.record_batch([pa.array(bucket[at].astype(np.int32)), *packed], ["bucket", "keys", "ids", "slots"])
+            short = pa.array([_short(k[a:b], int(bucket[a]), buckets) for a, b in zip(at, to, strict=True)], pa.binary())
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(at, to, strict=True)], pa.binary()) for x in (i, slot)]
+            yield pa.record_batch([pa.array(bucket[at].astype(np.int32)), short, *packed], ["bucket", "keys", "ids", "slots"])
 
     return run
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Key groups of two sets or more: (g, id, slot, size). Small groups are
-    named by their members, so the keys that they share are one group; large
-    ones by their key."""
-    k, i, slot = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)]) for c, t in (("keys", np.uint64), ("ids", np.int64), ("slots", np.int16)))
+    """Key groups of two sets or more: (g, id, sized), sized being 256 times the
+    group's size plus the slot. Small groups are named by their members, so the
+    keys that they share are one group; large ones by their key."""
+    k, i, slot = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)]) for c, t in (("keys", np.uint8), ("ids", np.int64), ("slots", np.uint8)))
+    k = _long(k) + (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(8 * KEY_BYTES))
     order = np.argsort(k, kind="stable")
     k, i, slot = k[order], i[order], slot[order]
     twin = np.zeros(len(k), bool)
@@ -266,9 +287,9 @@ def _meet(table: pa.Table) -> pa.Table:
     keep[first] = True
     large = size >= LARGE
     keep = (keep | large) & (size > 1)
-    name = np.where(large, k[at], members)
+    name = np.where(large, mixed(k[at]), members)
     rows = np.repeat(keep, size)
-    return pa.table({"g": np.repeat(name, size)[rows].view(np.int64), "id": i[rows], "slot": slot[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
+    return pa.table({"g": np.repeat(name, size)[rows].view(np.int64), "id": i[rows], "sized": np.repeat(size, size)[rows] * 256 + slot[rows]})
 
 
 def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, keys: int = 0) -> DataFrame:
@@ -280,12 +301,13 @@ def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     which many unrelated sets share, bring no pairs, and no link is lost."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), keys // (2 * BUCKET_KEYS))
     dealt = docs.select("text").mapInArrow(_deal(2 * parts, shingle, percent), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
-    met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, slot smallint, size bigint").checkpoint()
+    met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, sized bigint").checkpoint()
     del dealt
     release(docs.sparkSession)
-    large = F.col("size") >= LARGE
-    place = F.row_number().over(Window.partitionBy("id", "slot").orderBy(F.desc("size"), "g"))
-    rest = met.where(large).withColumn("place", place).where(F.col("place") >= F.floor(F.col("slot") / 2))
+    large = F.col("sized") >= 256 * LARGE
+    slot = F.pmod("sized", F.lit(256))
+    place = F.row_number().over(Window.partitionBy("id", slot).orderBy(F.shiftright("sized", 8).desc(), "g"))
+    rest = met.where(large).withColumn("place", place).where(F.col("place") >= F.floor(slot / 2))
     return met.where(~large).select("g", "id").union(rest.select("g", "id"))
 
 
@@ -392,6 +414,7 @@ def rooted(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     spark = docs.sparkSession
     rows = digests(docs, shingle).checkpoint()
     sets = rows.where("n_shingles > 0").groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(SKETCH_WORDS)]).agg(F.min(F.struct("doc_id", "text_id")).alias("row")).checkpoint()
+    release(spark)
     # A set has about as many keys as it may differ in from the smallest linked one.
     keys = sets.agg(F.sum(F.col("n_shingles") * (100 - percent) * (1 + SPARE) / percent + 2)).first()[0] or 0
     groups = key_groups(docs, shingle, percent, int(keys)).distinct().checkpoint()
