@@ -4,10 +4,12 @@ Texts and items are compared in lower case with runs of blanks as one space.
 An item with an error budget of k edits is split into k + 1 pieces: a passage
 within k edits holds one of them unchanged. Aho-Corasick finds all pieces in
 one walk over a text, and Myers' bit-parallel distance verifies each place.
+An item of under EDITABLE characters has no budget and counts where it stands
+between word boundaries.
 
-Defined cases: null and empty texts match nothing; items of under MIN_ITEM
-characters (or null) match nothing; equal items or rows each give their own
-pairs; ids may be null. Texts are searched whole. Items are searched in blocks
+Defined cases: null, blank and empty texts and items match nothing; equal items
+or rows each give their own pairs; ids may be null; of equally near places the
+first counts. Texts are searched whole. Items are searched in blocks
 of bounded size, one walk over the documents per block.
 """
 
@@ -27,7 +29,8 @@ from frametide.llm.common import typed
 
 #: One edit is allowed per so many characters of an item.
 CHARS_PER_EDIT = 20
-MIN_ITEM = 24
+#: Shorter items are searched word for word.
+EDITABLE = 24
 #: Characters of items that a task holds at once.
 BLOCK_CHARS = 1_000_000
 
@@ -37,7 +40,12 @@ def normal(text: str | None) -> str:
 
 
 def budget(item: str) -> int:
-    return len(item) // CHARS_PER_EDIT
+    return len(item) // CHARS_PER_EDIT if len(item) >= EDITABLE else 0
+
+
+def bounded(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] neither starts nor ends inside a word."""
+    return not (start and text[start - 1 : start + 1].isalnum()) and not (end < len(text) and text[end - 1 : end + 1].isalnum())
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -81,7 +89,7 @@ class Matcher:
 
     def __init__(self, items: list[tuple]):
         self.items = [(i, normal(t)) for i, t in items]
-        self.items = [(i, t) for i, t in self.items if len(t) >= MIN_ITEM]
+        self.items = [(i, t) for i, t in self.items if t]
         at: dict[str, list] = {}
         for n, (_, item) in enumerate(self.items):
             for offset, piece in pieces(item):
@@ -105,6 +113,11 @@ class Matcher:
         out = []
         for n, at in starts.items():
             item_id, item = self.items[n]
+            if len(item) < EDITABLE:
+                whole = min((s for s in at if bounded(text, s, s + len(item))), default=None)
+                if whole is not None:
+                    out.append((item_id, 0, whole, whole + len(item)))
+                continue
             k, best, reached = budget(item), None, None
             for start in sorted(at):
                 # Windows of close starts overlap: one walk covers them.
