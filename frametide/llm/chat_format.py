@@ -4,8 +4,10 @@ A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``; control strings i
 roles and texts are escaped reversibly (a backslash doubles, ``<|`` becomes
 ``<\\|``, and a line feed in a role ``\\n``). Every assistant turn becomes an
 example of its own: all turns before it are its context and only its text is
-trainable. Turns of one conversation share one stream, so an example is the
-stream up to its end, with a loss span; ``write_out`` spells examples out.
+trainable. Turns of one conversation share one stream, so an example is a
+context span, the stream up to its reply, and the reply with its loss span:
+``expanded`` attaches it to the turn that completes it. ``read_back`` reads every
+example so, and ``write_out`` spells examples out.
 
 Offsets come from two-level running sums (blocks of turns, then turns within a
 block), so a conversation of very many turns is spread over tasks.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frametide.llm.common import typed
+from frametide.llm.common import BATCH_BYTES, typed
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 BLOCK_TURNS = 512
@@ -73,10 +75,23 @@ def stream(conversations: DataFrame) -> DataFrame:
     )
 
 
+def expanded(turns: DataFrame) -> DataFrame:
+    """Every turn with the example that it completes: a struct of the context's
+    span in the stream and the loss span within the reply (its ``formatted``);
+    null for turns that are only context."""
+    example = F.struct(
+        F.lit(0).cast("bigint").alias("context_start"),
+        F.col("start").alias("context_end"),
+        (F.col("loss_start") - F.col("start")).alias("loss_start"),
+        (F.col("loss_end") - F.col("start")).alias("loss_end"),
+    )
+    return turns.select("conv_id", "turn", "start", "formatted", F.when(F.col("loss_start").isNotNull(), example).alias("example"))
+
+
 def examples(turns: DataFrame) -> DataFrame:
-    """One row per assistant turn: context_chars (the example's context is the
-    stream up to there), reply, chars of the whole example and its loss span."""
-    return turns.where("loss_start is not null").select("conv_id", "turn", F.col("start").alias("context_chars"), F.col("formatted").alias("reply"), F.col("end").alias("chars"), "loss_start", "loss_end")
+    """One row per assistant turn: conv_id, turn, the context's span in the
+    stream, the formatted reply and the loss span within it."""
+    return expanded(turns).where("example is not null").select("conv_id", "turn", "example.*", F.col("formatted").alias("reply"))
 
 
 def _in_order(turns: DataFrame) -> DataFrame:
@@ -85,63 +100,89 @@ def _in_order(turns: DataFrame) -> DataFrame:
 
 def _write_out(batches):
     now, parts = object(), []
+    names = ["conv_id", "turn", "text", "loss_start", "loss_end"]
     for batch in batches:
-        out = {"conv_id": [], "turn": [], "text": [], "loss_start": [], "loss_end": []}
+        types = [batch.schema.field("conv_id").type, batch.schema.field("turn").type, pa.string(), pa.int64(), pa.int64()]
+        rows, held = [], 0
         for r in batch.to_pylist():
             if r["conv_id"] != now:
                 now, parts = r["conv_id"], []
             parts.append(r["formatted"])
-            if r["loss_start"] is not None:
-                parts = ["".join(parts)]
-                for k, v in (("conv_id", now), ("turn", r["turn"]), ("text", parts[0]), ("loss_start", r["loss_start"]), ("loss_end", r["loss_end"])):
-                    out[k].append(v)
-        types = {"conv_id": batch.schema.field("conv_id").type, "turn": batch.schema.field("turn").type, "text": pa.string(), "loss_start": pa.int64(), "loss_end": pa.int64()}
-        yield pa.record_batch([pa.array(v, types[k]) for k, v in out.items()], list(out))
+            if r["loss_start"] is None:
+                continue
+            parts = ["".join(parts)]
+            rows.append((now, r["turn"], parts[0], r["loss_start"], r["loss_end"]))
+            held += len(parts[0])
+            if held >= BATCH_BYTES:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                rows, held = [], 0
+        if rows:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
 def write_out(turns: DataFrame) -> DataFrame:
     """Every example in full: conv_id, turn, text, loss_start, loss_end. The
-    output grows with the square of a conversation's turns; that is the format."""
+    output grows with the square of a conversation's turns; that is the format.
+    A task holds one example and a record batch of bounded characters."""
     return _in_order(turns).mapInArrow(_write_out, typed(turns, ["conv_id", "turn"], "text string, loss_start bigint, loss_end bigint"))
 
 
+class _Reader:
+    """What has been read of a conversation's examples."""
+
+    def __init__(self, conv_id):
+        self.conv_id, self.n_turns, self.examples = conv_id, 0, 0
+        self.turns, self.loss, self.loss_chars = hashlib.sha256(), hashlib.sha256(), 0
+        self.read, self.formatted, self.open = 0, 0, False
+
+    def turn(self, text: str, example: dict | None) -> None:
+        role, _, body = text[len(OPEN) : -len(CLOSE)].partition("\n")
+        self.n_turns += 1
+        self.turns.update(f"{unescape(role)}\n{unescape(body)}\n".encode())
+        if example:
+            if (example["context_start"], example["context_end"]) != (0, self.read):
+                raise ValueError(f"conversation {self.conv_id}: a context of {example['context_end']} characters after {self.read}")
+            trained = unescape(text[example["loss_start"] : example["loss_end"]])
+            self.loss_chars += len(trained)
+            self.loss.update(trained.encode())
+            self.examples += 1
+            self.formatted += self.read + len(text)
+        self.read += len(text)
+        self.open = example is None
+
+    def row(self) -> tuple:
+        # Turns after the last reply are a context without a target.
+        total = self.formatted + (self.read if self.open else 0)
+        return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), total, self.read, self.examples)
+
+
 def _read_back(batches):
-    """Digests per conversation from the formatted stream, turn by turn."""
+    """Digests per conversation, example by example: the context is the stream
+    as read so far, of which every example adds what came since the last one."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "stream_chars", "n_examples"]
     types = [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-    state = None
+    reader = id_type = None
 
-    def closed(s):
-        # Turns after the last reply are a context without a target.
-        return (s["id"], s["n"], s["turns"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["total"] + (0 if s["trained"] else s["end"]), s["end"], s["examples"])
+    def record(rows):
+        return pa.record_batch([pa.array(c, t or id_type) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    id_type = None
     for batch in batches:
         id_type, done = batch.schema.field("conv_id").type, []
         for r in batch.to_pylist():
-            if state is None or r["conv_id"] != state["id"]:
-                if state:
-                    done.append(closed(state))
-                state = {"id": r["conv_id"], "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "total": 0, "end": 0, "trained": False, "examples": 0}
-            text = r["formatted"]
-            role, _, body = text[len(OPEN) : -len(CLOSE)].partition("\n")
-            state["n"] += 1
-            state["turns"].update(f"{unescape(role)}\n{unescape(body)}\n".encode())
-            state["end"], state["trained"] = r["end"], r["loss_start"] is not None
-            if state["trained"]:
-                trained = unescape(text[r["loss_start"] - r["start"] : r["loss_end"] - r["start"]])
-                state["chars"] += len(trained)
-                state["loss"].update(trained.encode())
-                state["total"] += r["end"]
-                state["examples"] += 1
+            if reader is None or r["conv_id"] != reader.conv_id:
+                if reader:
+                    done.append(reader.row())
+                reader = _Reader(r["conv_id"])
+            reader.turn(r["formatted"], r["example"])
         if done:
-            yield pa.record_batch([pa.array(c, t or id_type) for c, t in zip(zip(*done, strict=True), types, strict=True)], names)
-    if state:
-        yield pa.record_batch([pa.array([c], t or id_type) for c, t in zip(closed(state), types, strict=True)], names)
+            yield record(done)
+    if reader:
+        yield record([reader.row()])
 
 
 def read_back(turns: DataFrame) -> DataFrame:
-    """Per conversation what the formatted output holds: a streaming pass over
-    turns in order, with the memory of one turn."""
+    """Per conversation what its examples hold: a streaming pass over all
+    examples in order, with the memory of one turn. ``formatted_chars`` counts
+    every example in full, context and reply, and a last context without reply."""
     ddl = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, stream_chars bigint, n_examples bigint"
-    return _in_order(turns).mapInArrow(_read_back, typed(turns, ["conv_id"], ddl))
+    return _in_order(expanded(turns)).mapInArrow(_read_back, typed(turns, ["conv_id"], ddl))
