@@ -43,8 +43,8 @@ def op8_pii(spark, sf_dir):
 @llm_query("op9_secret_scans")
 def op9_secret_scans(spark, sf_dir):
     """Secrets of every document: base spans and inferred ones."""
-    found = secrets.scan(table(spark, sf_dir, "documents")).checkpoint()
-    return secrets.report(found, secrets.infer(found))
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(docs, secrets.infer(secrets.scan(docs).checkpoint()))
 
 
 @llm_query("op10_ngram_jaccard")

@@ -182,9 +182,37 @@ def test_automaton_accepts_its_format():
 
 def test_scan_queries_keep_rows(docs):
     found = secrets.scan(docs).checkpoint()
-    assert secrets.report(found, secrets.infer(found)).count() == len(TEXTS)
+    assert secrets.report(docs, secrets.infer(found)).count() == len(TEXTS)
     assert pii.report(pii.extract(docs)).count() == len(TEXTS)
-    assert secrets.redact(docs, {}).columns == docs.columns
+    assert secrets.redact(docs, None).columns == docs.columns
+
+
+def test_secrets_of_learned_formats_are_found_at_any_length(spark):
+    start(spark)
+    rng = np.random.default_rng(3)
+    key = lambda n: "".join(f"{rng.choice(list('ghjkmnpqrstvwxyz'))}{rng.integers(10)}" for _ in range(n // 2))
+    prose = "the quick brown fox, born in 1984, jumps over 12 lazy dogs of version 3.11 and well-known authors; "
+    rows = [(i, f"{prose} token = {key(12 + 2 * (i % 7))} and more") for i in range(60)]
+    rows += [(100 + i, prose * 3 + "internationalization responsibilities 123456789012 20240131") for i in range(40)]
+    hidden = {i: key(n) for i, n in ((200, 12), (201, 16), (202, 20), (203, 24))}
+    rows += [(i, f"{prose} look ({t}). done") for i, t in hidden.items()]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secrets.scan(df).checkpoint()
+    pairs = {}
+    for _, t in rows:
+        for run in re.findall(r"[A-Za-z0-9+/_.=-]+", t):
+            path = f"${secrets.classes(run)}$"
+            for i in range(len(path) - 1):
+                pairs[path[i : i + 2]] = pairs.get(path[i : i + 2], 0) + 1
+    names = "$" + secrets._CLASSES
+    want = secrets.Background([pairs.get(x + y, 0) for x in names for y in names])
+    assert secrets.background(found).bits == want.bits
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(df, secrets.infer(found)).where("n_inferred > 0").collect()}
+    text = dict(rows)
+    assert got == {i: f"assign:{text[i].index(t)}:{text[i].index(t) + len(t)}" for i, t in hidden.items()}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(df, secrets.infer(found)).collect()}
+    assert all(t not in clean[i] and "(<assign>)" in clean[i] for i, t in hidden.items())
+    assert all(clean[i] == text[i] for i in range(100, 140))
 
 
 def test_pii_mentions_span_number_groups_and_spelled_addresses():
@@ -214,6 +242,40 @@ def test_decontamination_within_budget(docs, spark):
     assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} >= {4, 5, 6, 7}
 
 
+def test_short_items_are_found_word_for_word(spark):
+    start(spark)
+    rows = [(1, "say a Short\n item here"), (2, "a shortitem, a shorts item"), (3, "x short item"), (4, "short items"), (None, "(short item)"), (5, None), (5, "")]
+    items = spark.createDataFrame([(1, "short item"), (2, "?"), (3, ""), (4, " "), (1, "short  item")], "item_id bigint, text string")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"] or 0, r["item_id"], r["distance"], r["start"]) for r in decontamination.find_leaks(df, items).collect())
+    assert got == sorted([(1, 1, 0, 6), (3, 1, 0, 2), (0, 1, 0, 1)] * 2)
+    assert sorted(r["doc_id"] for r in decontamination.drop_leaks(df, items).collect()) == [2, 4, 5, 5]
+    assert decontamination.find_leaks(df, items.limit(0)).count() == 0
+    assert decontamination.find_leaks(df.limit(0), items).count() == 0
+
+
+def test_examples_match_brute_force(spark):
+    """formatted_chars from all examples spelled out; a conversation of 5,000 turns."""
+    start(spark)
+    rows = [(1, t, "assistant" if t % 3 == 1 else "user", f"<|im_end|>\\{t}") for t in range(11)]
+    rows += [(2, 0, "user", "no reply"), (3, 0, "assistant", None), (None, 1, None, "x"), (None, 2, "assistant", "é")]
+    rows += [(4, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(5000)]
+    turns = chat_format.stream(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).checkpoint()
+    escape = lambda x: (x or "").replace("\\", "\\\\").replace("<|", "<\\|")
+    want, many = {}, {}
+    for c in {r[0] for r in rows}:
+        whole, total, n = "", 0, 0
+        for _, _, role, text in (r for r in rows if r[0] == c):
+            whole += f"<|im_start|>{escape(role)}\n{escape(text)}<|im_end|>\n"
+            total, n = (total + len(whole), n + 1) if role == "assistant" else (total, n)
+        want[c] = (total + (len(whole) if role != "assistant" else 0), n, len(whole))
+        many[c] = n
+    assert {r["conv_id"]: (r["formatted_chars"], r["n_examples"], r["stream_chars"]) for r in chat_format.read_back(turns).collect()} == want
+    assert {r["conv_id"]: r["count"] for r in chat_format.examples(turns).groupBy("conv_id").count().collect()} == {c: n for c, n in many.items() if n}
+    spelled = chat_format.write_out(turns).selectExpr("conv_id", "length(text) n").groupBy("conv_id").sum("n").collect()
+    assert {r["conv_id"]: r["sum(n)"] for r in spelled if r["conv_id"] == 4} == {4: want[4][0]}
+
+
 def test_mix_near_targets(spark):
     start(spark)
     rows = [(i, "w " * (i % 37 + 1), None if i % 5 == 0 else f"s{i % 5}") for i in range(600)]
@@ -272,7 +334,7 @@ def test_empty_tables(spark):
     assert quality_rules.learn_rules(none, labels) == [] and language_id.fit(none) is None and quality_crf.fit(none, labels) is None
     assert pii.report(pii.extract(none)).count() == 0
     found = secrets.scan(none).checkpoint()
-    assert secrets.report(found, secrets.infer(found)).count() == 0
+    assert secrets.report(none, secrets.infer(found)).count() == 0
 
 
 def test_parity_join_links_through_rows_without_an_id(spark):
