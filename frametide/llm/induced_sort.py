@@ -1,12 +1,12 @@
-"""Suffix arrays by induced sorting, vectorised bucket by bucket, and permuted
-common prefixes."""
+"""Suffix arrays by induced sorting and permuted common prefixes. Buckets are
+walked a slice at a time where they are large, else suffix by suffix."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Names beyond this many are ranked by doubling; induction walks one bucket at a time.
-BUCKETS = 2048
+#: Below this mean size of a bucket its suffixes are walked one by one: array calls would cost more.
+SLICE = 256
 
 
 def types(t: np.ndarray) -> np.ndarray:
@@ -27,6 +27,8 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
     S-type at bucket tails in one walk down. A walk takes all suffixes that
     lie ready in a bucket at once; equal letters need another round."""
     n = len(t)
+    if n < SLICE * k:
+        return _induce_each(t, s, lms, k)
     sa = np.full(n, -1, np.int64)
     count = np.bincount(t, minlength=k)
     end = np.cumsum(count)
@@ -82,6 +84,32 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
     return sa
 
 
+def _induce_each(t: np.ndarray, s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
+    """``induce``, suffix by suffix."""
+    last = np.cumsum(np.bincount(t, minlength=k))
+    head, tail = np.concatenate([[0], last[:-1]]).tolist(), last.tolist()
+    letters, ascending = t.tolist(), s.tolist()
+    sa = [0] * len(letters)
+    for i in lms[::-1].tolist():
+        c = letters[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    for i in range(len(sa)):
+        j = sa[i] - 1
+        if j >= 0 and not ascending[j]:
+            c = letters[j]
+            sa[head[c]] = j
+            head[c] += 1
+    tail = last.tolist()
+    for i in range(len(sa) - 1, -1, -1):
+        j = sa[i] - 1
+        if j >= 0 and ascending[j]:
+            c = letters[j]
+            tail[c] -= 1
+            sa[tail[c]] = j
+    return np.array(sa, np.int64)
+
+
 def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Rank of every LMS substring, in the order ``ordered``; equal ones share it."""
     n = len(t)
@@ -101,27 +129,8 @@ def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
-def _ranked(r: np.ndarray, span: int) -> np.ndarray:
-    """Order of the suffixes of ``r`` by their first ``span`` names at least, by doubling."""
-    n, k = len(r), 1
-    rank = r.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    while k < span:
-        key = rank * (n + 1)
-        key[:-k] += rank[k:] + 1 if k < n else 0
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.cumsum(np.diff(ranked, prepend=ranked[:1]) > 0)
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1 or 2 * k >= n:
-            break
-        k *= 2
-    return order
-
-
-def suffix_array(t: np.ndarray, k: int, depth: int) -> np.ndarray:
-    """Order of the suffixes of ``t`` by their first ``depth`` letters at least.
+def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
+    """Order of the suffixes of ``t``, whose letters are below ``k``.
 
     ``t`` ends with the only 0. LMS substrings are sorted by induction and
     named; names that repeat are sorted recursively, and the order of all
@@ -142,13 +151,7 @@ def suffix_array(t: np.ndarray, k: int, depth: int) -> np.ndarray:
     if name[-1] + 1 < len(lms):
         place = np.empty(n, np.int64)
         place[ordered] = name
-        reduced = place[lms]
-        # LMS places are two letters apart at least.
-        if name[-1] < BUCKETS:
-            at = suffix_array(reduced, int(name[-1]) + 1, depth)
-        else:
-            at = _ranked(reduced, depth // 2 + 1)
-        ordered = lms[at]
+        ordered = lms[suffix_array(place[lms], int(name[-1]) + 1)]
     return induce(t, s, ordered, k)
 
 

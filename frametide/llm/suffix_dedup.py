@@ -19,9 +19,10 @@ doc_id, or earlier in the document) goes. Four steps, all over whole texts:
 4. Repeats merge to runs per document.
 
 Defined cases: null and empty texts are empty; rows without an id keep their
-text and repeat nothing; rows that repeat a doc_id are one document (equal
-positions are the same string, and neither removes the other); texts under 100
-bytes keep all bytes. Very long texts are cut into overlapping passes.
+text and repeat nothing; rows that repeat a doc_id with one text are one document
+(equal positions are the same string, and neither removes the other), with
+different texts they are documents in the order of a hash of their texts; texts
+under 100 bytes keep all bytes. Very long texts are cut into overlapping passes.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ WINDOW = 100
 GRAM = 32
 SPAN = WINDOW - GRAM + 1
 SHARD_BYTES = 1 << 20
+#: Bytes of text to a pair of buckets of anchors; their pieces take about as many.
+BUCKET_BYTES = 256 << 20
+#: Ids that have several texts are broadcast up to this many (8 bytes each).
+BROADCAST_IDS = 1_000_000
 _PLACE_BITS = np.uint64(21)
 _BYTE = random_table(303)
 _BASE = 0xD1342543DE82EF95
@@ -95,30 +100,55 @@ def pieces(raw: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _row_pieces(batch):
-    """(anchor, piece, doc_id, first, last) arrays of a batch; positions count in the document."""
+    """(anchor, piece, doc_id, row, first, last) arrays of a batch; positions count in the document."""
     raw, offsets = flat_text(batch.column("text"))
-    ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+    ids, rows = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "row"))
     for a, b in passes(offsets):
         if b - a == 1 and offsets[b] - offsets[a] > PASS_BYTES:
             whole = raw[offsets[a] : offsets[b]]
             for lo in range(0, len(whole) - WINDOW + 1, PASS_BYTES):
                 part = whole[lo : lo + PASS_BYTES + WINDOW - 1]
                 h, p, first, last = pieces(part, np.ones(len(part) - WINDOW + 1, bool))
-                yield h, p, np.full(len(h), ids[a]), first + lo, last + lo
+                yield h, p, np.full(len(h), ids[a]), np.full(len(h), rows[a]), first + lo, last + lo
             continue
         part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         usable = np.ones(len(part), bool)
         for end in at[1:]:
             usable[max(0, end - WINDOW + 1) : end] = False
         h, p, first, last = pieces(part, usable)
-        row = np.searchsorted(at, first, "right") - 1
-        yield h, p, ids[a + row], first - at[row], last - at[row]
+        own = np.searchsorted(at, first, "right") - 1
+        yield h, p, ids[a + own], rows[a + own], first - at[own], last - at[own]
 
 
-_COLUMNS = ("h", "p", "doc", "first", "last")
+_COLUMNS = ("h", "p", "doc", "row", "first", "last")
 _PACKED = "bucket int, repeat boolean, " + ", ".join(f"{c} binary" for c in _COLUMNS)
 
 
+class _Owners:
+    """The documents, (doc_id, row) in their order, that pieces belong to;
+    ``of`` numbers them per piece."""
+
+    def __init__(self, doc, row):
+        order = np.lexsort((row, doc))
+        doc, row = doc[order], row[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(new) - 1
+        self.doc, self.row = doc[new], row[new]
+
+
+def _rows_packed(row):
+    """Bytes of ``row``; nothing where all are 0, as for ids of one text."""
+    return row.tobytes() if row.any() else b""
+
+
+def _owners(table: pa.Table) -> _Owners:
+    doc = _join(table.column("doc"), np.int64)
+    rows = [np.frombuffer(r.as_buffer(), np.int64) if len(r.as_buffer()) else np.zeros(len(d.as_buffer()) // 8, np.int64) for d, r in zip(table.column("doc"), table.column("row"), strict=True)]
+    return _Owners(doc, np.concatenate(rows) if rows else np.zeros(0, np.int64))
+
+
 def _repeats(h, p, doc, first):
     """True for pieces that follow an equal one (rows come ordered by h, p, doc, first)."""
     lead = np.ones(len(h), bool)
@@ -137,18 +167,20 @@ def _deal(buckets: int):
             parts = list(zip(*_row_pieces(batch), strict=True))
             if not parts or not sum(map(len, parts[0])):
                 continue
-            h, p, doc, first, last = (np.concatenate(x) for x in parts)
-            order = np.lexsort((first, doc, p, h))
+            h, p, doc, row, first, last = (np.concatenate(x) for x in parts)
+            owner = _Owners(doc, row).of
+            order = np.lexsort((first, owner, p, h))
             repeat = np.zeros(len(h), bool)
-            repeat[order], _ = _repeats(h[order], p[order], doc[order], first[order])
+            repeat[order], _ = _repeats(h[order], p[order], owner[order], first[order])
             bucket = (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
             bucket[repeat] = buckets + mixed(doc[repeat].view(np.uint64)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
             at = np.flatnonzero(np.diff(bucket, prepend=-1))
             to = np.append(at[1:], len(bucket))
-            data = [x[order] for x in (h, p, doc, first.astype(np.int32), (last - first).astype(np.int16))]
+            data = [x[order] for x in (h, p, doc, row, first.astype(np.int32), (last - first).astype(np.int16))]
             cols = [[x[i:j].tobytes() for i, j in zip(at, to, strict=True)] for x in data]
+            cols[3] = [_rows_packed(data[3][i:j]) for i, j in zip(at, to, strict=True)]
             again = bucket[at] >= buckets
             cols[0] = [b"" if r else x for r, x in zip(again, cols[0], strict=True)]
             cols[1] = [b"" if r else x for r, x in zip(again, cols[1], strict=True)]
@@ -162,48 +194,51 @@ def _join(column, kind):
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _per_document(doc, *arrays):
-    """(doc, packed arrays) with one row per document."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    to = np.append(at[1:], len(doc))[: len(at)]
+def _per_document(owner, *arrays):
+    """(owner, packed arrays) with one row per document."""
+    order = np.argsort(owner, kind="stable")
+    owner = owner[order]
+    at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+    to = np.append(at[1:], len(owner))[: len(at)]
     arrays = [x[order] for x in arrays]
-    return doc[at], [[x[i:j].tobytes() for i, j in zip(at, to, strict=True)] for x in arrays]
+    return owner[at], [[x[i:j].tobytes() for i, j in zip(at, to, strict=True)] for x in arrays]
 
 
-def _found(doc, a, b, need=None):
-    """Rows (doc_id, sort, h, a, b): repeated windows a..b, or pieces that need sorting."""
-    ids, (pa_, pb) = _per_document(doc, a.astype(np.int32), b.astype(np.int32))
-    rows = {"doc_id": [ids], "sort": [np.zeros(len(ids), bool)], "h": [b""] * len(ids), "a": pa_, "b": pb}
+def _found(owners, owner, a, b, need=None):
+    """Rows (doc_id, row, sort, h, a, b): repeated windows a..b, or pieces that need sorting."""
+    own, (pa_, pb) = _per_document(owner, a.astype(np.int32), b.astype(np.int32))
+    of, sort, ph = [own], [np.zeros(len(own), bool)], [b""] * len(own)
     if need is not None:
-        h, doc, a, b = need
-        ids, (ph, qa, qb) = _per_document(doc, h, a.astype(np.int32), b.astype(np.int32))
-        rows["doc_id"].append(ids)
-        rows["sort"].append(np.ones(len(ids), bool))
-        rows["h"], rows["a"], rows["b"] = rows["h"] + ph, rows["a"] + qa, rows["b"] + qb
+        h, owner, a, b = need
+        own, (qh, qa, qb) = _per_document(owner, h, a.astype(np.int32), b.astype(np.int32))
+        of.append(own)
+        sort.append(np.ones(len(own), bool))
+        ph, pa_, pb = ph + qh, pa_ + qa, pb + qb
+    of = np.concatenate(of)
     return pa.table(
         {
-            "doc_id": pa.array(np.concatenate(rows["doc_id"]), pa.int64()),
-            "sort": pa.array(np.concatenate(rows["sort"]), pa.bool_()),
-            "h": pa.array(rows["h"], pa.binary()),
-            "a": pa.array(rows["a"], pa.binary()),
-            "b": pa.array(rows["b"], pa.binary()),
+            "doc_id": pa.array(owners.doc[of], pa.int64()),
+            "row": pa.array(owners.row[of], pa.int64()),
+            "sort": pa.array(np.concatenate(sort), pa.bool_()),
+            "h": pa.array(ph, pa.binary()),
+            "a": pa.array(pa_, pa.binary()),
+            "b": pa.array(pb, pa.binary()),
         }
     )
 
 
-_FOUND = "doc_id bigint, sort boolean, h binary, a binary, b binary"
+_FOUND = "doc_id bigint, row bigint, sort boolean, h binary, a binary, b binary"
 
 
 def _meet(table: pa.Table) -> pa.Table:
     """Of a bucket's pieces: repeats of equal pieces, and first occurrences
     whose anchor has several contents."""
-    doc = _join(table.column("doc"), np.int64)
+    owners = _owners(table)
+    doc = owners.of
     first = _join(table.column("first"), np.int32).astype(np.int64)
     last = first + _join(table.column("last"), np.int16)
     if table.column("repeat")[0].as_py():
-        return _found(doc, first, last)
+        return _found(owners, doc, first, last)
     h, p = _join(table.column("h"), np.uint64), _join(table.column("p"), np.uint64)
     order = np.argsort(h, kind="stable")
     ordered = h[order]
@@ -218,7 +253,7 @@ def _meet(table: pa.Table) -> pa.Table:
     anchor = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
     contents = np.bincount(anchor, weights=lead)
     need = lead & (contents[anchor] > 1) if len(h) else lead
-    return _found(doc[repeat], first[repeat], last[repeat], (h[need], doc[need], first[need], last[need]))
+    return _found(owners, doc[repeat], first[repeat], last[repeat], (h[need], doc[need], first[need], last[need]))
 
 
 def second_anchors(gram: np.ndarray, h: int, first: int, last: int) -> np.ndarray:
@@ -246,7 +281,7 @@ def _cut(shards: int):
     def run(batches):
         for batch in batches:
             raw, offsets = flat_text(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).tolist()
+            ids, rows = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("doc_id", "row"))
             out: dict[int, list] = {}
             for i, (hs, fs, ls) in enumerate(zip(batch.column("h"), batch.column("a"), batch.column("b"), strict=True)):
                 h, first, last = _join(hs.values, np.uint64), _join(fs.values, np.int32), _join(ls.values, np.int32)
@@ -261,12 +296,13 @@ def _cut(shards: int):
                     edge = [0, *(np.flatnonzero(second[1:] != second[:-1]) + 1).tolist(), t - f + 1]
                     for a, b in zip(edge, edge[1:], strict=False):
                         key = (int(second[a]) * 0x9E3779B97F4A7C15 ^ x) & (2**64 - 1)
-                        out.setdefault((key >> 32) * shards >> 32, []).append((key, ids[i], f + a, whole[f + a : f + b - 1 + WINDOW]))
+                        out.setdefault((key >> 32) * shards >> 32, []).append((key, ids[i], rows[i], f + a, whole[f + a : f + b - 1 + WINDOW]))
             if out:
-                kinds = (np.uint64, np.int64, np.int32)
-                cols = [[np.array([x[c] for x in v], kinds[c]).tobytes() for v in out.values()] for c in range(3)]
-                cols += [[np.array([len(x[3]) for x in v], np.int32).tobytes() for v in out.values()], [b"".join(x[3] for x in v) for v in out.values()]]
-                yield pa.record_batch([pa.array(list(out), pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], ["shard", "key", "doc", "first", "size", "text"])
+                kinds = (np.uint64, np.int64, np.int64, np.int32)
+                cols = [[np.array([x[c] for x in v], kinds[c]).tobytes() for v in out.values()] for c in range(4)]
+                cols[2] = [_rows_packed(np.array([x[2] for x in v], np.int64)) for v in out.values()]
+                cols += [[np.array([len(x[4]) for x in v], np.int32).tobytes() for v in out.values()], [b"".join(x[4] for x in v) for v in out.values()]]
+                yield pa.record_batch([pa.array(list(out), pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], ["shard", "key", "doc", "row", "first", "size", "text"])
 
     return run
 
@@ -281,7 +317,7 @@ def repeated_windows(texts: np.ndarray, size: np.ndarray, doc: np.ndarray, first
     inside = np.arange(len(piece)) + piece
     t[inside] = texts.astype(np.int64) + 2
     t[-1] = 0
-    sa = suffix_array(t, 258, WINDOW)
+    sa = suffix_array(t, 258)
     shared = common_prefixes(t, sa, begin, 4 * WINDOW) >= WINDOW
     window = np.zeros(len(t), bool)
     offset = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size)
@@ -312,7 +348,8 @@ def _sort(table: pa.Table) -> pa.Table:
     same = key[order][1:] == key[order][:-1]
     shared[order[1:]] |= same
     shared[order[:-1]] |= same
-    doc, first, size = _join(table.column("doc"), np.int64), _join(table.column("first"), np.int32).astype(np.int64), _join(table.column("size"), np.int32).astype(np.int64)
+    owners = _owners(table)
+    doc, first, size = owners.of, _join(table.column("first"), np.int32).astype(np.int64), _join(table.column("size"), np.int32).astype(np.int64)
     raw = b"".join(x.as_py() for x in table.column("text"))
     end = np.cumsum(size)
     pick = np.flatnonzero(shared)
@@ -344,22 +381,38 @@ def _sort(table: pa.Table) -> pa.Table:
         a, o = at[new], owner[new]
         b = np.append(at[:-1][new[1:]], at[-1:])
         a_doc, a_first, a_last = (np.concatenate(x) for x in ((a_doc, doc[o]), (a_first, first[o] + a - begin[o]), (a_last, first[o] + b - begin[o])))
-    return _found(a_doc, a_first, a_last)
+    return _found(owners, a_doc, a_first, a_last)
+
+
+def told_apart(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``row``: a hash of the text where an id has several
+    texts, else 0."""
+    named = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
+    several = named.groupBy(F.col("doc_id").cast("bigint").alias("many")).agg(F.min("row").alias("a"), F.max("row").alias("b")).where("many is not null and a <> b").select("many").checkpoint()
+    n = several.count()
+    if not n:
+        return named.withColumn("row", F.lit(0).cast("bigint"))
+    joined = named.join(F.broadcast(several) if n <= BROADCAST_IDS else several, F.col("doc_id").cast("bigint") == F.col("many"), "left")
+    return joined.select("doc_id", "text", F.when(F.col("many").isNotNull(), F.col("row")).otherwise(F.lit(0)).alias("row"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, a, b): packed ranges of windows that repeat an earlier one."""
+    """(doc_id, row, a, b): packed ranges of windows that repeat an earlier
+    one; ``docs`` as ``told_apart`` gives them."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    key = ["doc_id", "row"]
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "row", "text").where("doc_id is not null")
     dealt = named.mapInArrow(_deal(2 * buckets), _PACKED).repartition(buckets, "bucket")
     found = dealt.groupBy("bucket").applyInArrow(_meet, _FOUND).checkpoint()
-    need = found.where("sort").groupBy("doc_id").agg(F.collect_list("h").alias("h"), F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+    need = found.where("sort").groupBy(key).agg(F.collect_list("h").alias("h"), F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     count = found.where("sort").agg(F.coalesce(F.sum(F.length("h")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-count * (WINDOW + GRAM) // SHARD_BYTES))
-    cut = named.join(need, "doc_id").select("doc_id", "text", "h", "a", "b").mapInArrow(_cut(shards), "shard int, key binary, doc binary, first binary, size binary, text binary")
+    packed = "shard int, key binary, doc binary, row binary, first binary, size binary, text binary"
+    cut = named.join(need, key).select(*key, "text", "h", "a", "b").mapInArrow(_cut(shards), packed)
     sorted_ = cut.repartition(min(shards, buckets), "shard").groupBy("shard").applyInArrow(_sort, _FOUND)
-    return found.where("not sort").select("doc_id", "a", "b").union(sorted_.select("doc_id", "a", "b"))
+    return found.where("not sort").select(*key, "a", "b").union(sorted_.select(*key, "a", "b"))
 
 
 def removed_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -401,8 +454,9 @@ def _apply(with_text: bool):
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row, and with
     ``with_text`` the remaining bytes as ``kept``."""
-    runs = repeated(docs).groupBy("doc_id").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    key = F.col("doc_id").cast("bigint")
-    rows = docs.select("doc_id", "text").join(runs.withColumnRenamed("doc_id", "run_id"), key == F.col("run_id"), "left").select("doc_id", "text", "a", "b")
+    rows = told_apart(docs)
+    runs = repeated(rows).groupBy(F.col("doc_id").alias("run_id"), F.col("row").alias("run_row")).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+    own = (F.col("doc_id").cast("bigint") == F.col("run_id")) & (F.col("row") == F.col("run_row"))
+    rows = rows.join(runs, own, "left").select("doc_id", "text", "a", "b")
     ddl = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text
     return rows.mapInArrow(_apply(with_text), typed(docs, ["doc_id"], ddl))

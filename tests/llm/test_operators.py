@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from frametide.llm import chat_format, decontamination, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
+from frametide.llm import chat_format, decontamination, induced_sort, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
 from frametide.llm.common import start
 from frametide.llm.induced_sort import common_prefixes, suffix_array
 
@@ -136,7 +136,7 @@ def test_suffix_array_and_prefixes():
     for _ in range(60):
         t = np.append(rng.integers(1, 4, int(rng.integers(1, 120))), 0)
         order = sorted(range(len(t)), key=lambda i: t[i:].tolist())
-        sa = suffix_array(t, 4, 10**6)
+        sa = suffix_array(t, 4)
         assert sa.tolist() == order
         shared = common_prefixes(t, sa, np.array([0]), 1000)
         for a, b in zip(order, order[1:], strict=False):
@@ -161,6 +161,49 @@ def test_suffix_dedup_matches_brute_force(docs):
     assert want == {g for g in got if g[0] is not None}
 
 
+def test_names_are_sorted_recursively_at_any_count(monkeypatch):
+    rng = np.random.default_rng(5)
+    half = rng.integers(1, 300, 9000)
+    for t in (np.concatenate([half, half, half[:4000], [0]]), np.concatenate([np.tile([7, 3, 250], 3000), half, half[2000:], [0]])):
+        levels = []
+        whole = induced_sort.suffix_array
+        monkeypatch.setattr(induced_sort, "suffix_array", lambda t, k, f=whole: (levels.append(k), f(t, k))[1])
+        sa = induced_sort.suffix_array(t, 300)
+        monkeypatch.undo()
+        assert len(levels) > 1 and max(levels[1:]) > 2048
+        assert sorted(sa.tolist()) == list(range(len(t)))
+        raw = t.astype(">u2").tobytes()
+        assert all(raw[2 * a :] < raw[2 * b :] for a, b in zip(sa.tolist(), sa.tolist()[1:], strict=False))
+        s = induced_sort.types(t)
+        lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
+        lms = lms[np.argsort(np.argsort(sa)[lms])]
+        monkeypatch.setattr(induced_sort, "SLICE", 0)
+        assert (induced_sort.induce(t, s, lms, 300) == sa).all()
+        monkeypatch.undo()
+
+
+def test_suffix_dedup_tells_texts_of_one_id_apart(spark):
+    start(spark)
+    rng = np.random.default_rng(8)
+    x, y, z = ("".join(rng.choice(list("abcdefgh "), n)) for n in (400, 300, 260))
+    rows = [(5, x), (5, y + x[100:300]), (6, x), (7, y), (8, z + z), (8, z), (8, z), (None, x), (9, None), (9, ""), (9, y[50:200] + "é")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    order = {(r["doc_id"], r["text"]): r["row"] for r in suffix_dedup.told_apart(df).collect()}
+    seen, want = {}, {}
+    for i, h, t in sorted({(i, order[i, t], t or "") for i, t in rows if i is not None}):
+        b = t.encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 99):
+            if seen.setdefault(b[k : k + 100], (i, h, k)) != (i, h, k):
+                gone[k : k + 100] = True
+        want[i, t] = bytes(np.frombuffer(b, np.uint8)[~gone])
+    got = [(r["doc_id"], r["n_bytes"], bytes(r["kept"]).decode()) for r in suffix_dedup.remove_repeats(df, with_text=True).collect()]
+    expect = [(i, len((t or "").encode()), (t or "") if i is None else want[i, t or ""].decode()) for i, t in rows]
+    assert sorted(got, key=str) == sorted(expect, key=str)
+    kept = "\n".join(k for i, _, k in got if i is not None)
+    assert x[:100] in kept and y[:100] in kept
+
+
 def test_scans_match_plain_regexes():
     card = re.compile(r"[0-9]([\x20-]?[0-9])+")
     assign = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
