@@ -337,6 +337,40 @@ def test_mix_near_targets(spark):
     assert (split.sum(axis=0) == quotas).all()
 
 
+def test_mix_against_recomputed_sizes_and_targets(spark, monkeypatch):
+    """Sizes, targets and draws recomputed; every source as full as its documents allow; no shard empty."""
+    start(spark)
+    rows = [(i, "é w\x0bw\u00a0w " * (i * i % 41 + 1), "big") for i in range(3000)]
+    rows += [(5000 + i, "a b c " * (i % 9 + 1), "tiny") for i in range(40)]
+    rows += [(6000 + i, "z " * 25, None) for i in range(300)] + [(7, "same row", "tiny")] * 3 + [(8, None, "empty"), (9, "", "empty"), (None, " \t", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    size = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    want, left, free = {}, sum(sizes.values()), list(order)
+    while over := [s for s in free if left * weight[s] > 3 * sizes[s] * sum(weight[x] for x in free)]:
+        for s in over:
+            want[s] = 3 * sizes[s]
+        left, free = sum(sizes.values()) - sum(want.values()), [s for s in free if s not in over]
+    want |= {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+    for groups in (mixing.GROUPS, 40):
+        monkeypatch.setattr(mixing, "GROUPS", groups)
+        plan = mixing.plan_mix(df, blocks=16, shard_words=-(-sum(sizes.values()) // 200))
+        out = mixing.draw(df, plan).collect()
+        taken, used = {}, set()
+        for r in out:
+            m = r["mix"]
+            assert (m["size"], m["source_size"]) == (size(r["text"]), sizes[r["source"]]) and abs(m["target"] - want[r["source"]]) < 1e-6
+            assert len(m["shards"]) <= 3
+            used |= set(m["shards"])
+            taken[r["source"]] = taken.get(r["source"], 0) + m["size"] * len(m["shards"])
+        assert all(want[s] * 0.99 - 1 <= taken[s] <= want[s] + 0.5 for s in want), (taken, want)
+        assert plan.shards == 200 and used == set(range(200))
+
+
 def test_language_and_quality_models(spark, docs):
     start(spark)
     rows = [(i, ("the house and the garden " if i % 2 else "der garten und das haus ") * 4 + ("" if i % 3 else "\n### $$$ %%%"), "en" if i % 2 else "de") for i in range(80)]
