@@ -106,6 +106,53 @@ def find_hot_groups(
     )
 
 
+# Expected sampled rows of a join key at the heavy threshold below.
+HEAVY_SAMPLE_ROWS = 64
+_HASH_RANGE = 1 << 20
+
+
+def find_hot_joined_groups(
+    left: DataFrame,
+    right: DataFrame,
+    join_keys: Sequence[str],
+    keys: Sequence[str],
+    hot_group_rows: int,
+    how: str = "inner",
+    seed: int = 7,
+) -> DataFrame:
+    """Group keys (a subset of ``join_keys``) whose size after
+    ``left`` join ``right`` is estimated above ``hot_group_rows``, without
+    running the join: a join key's rows are its rows on the left times those
+    on the right (at least one for a left join).
+
+    A product of hot_group_rows needs sqrt(hot_group_rows) rows on one side,
+    so join keys of half that many rows on a side, found by a sample of the
+    key columns, are counted exactly on both sides. Of the others both sides
+    count the same share, chosen by a hash of the join key. A group flagged
+    by mistake, or missed, changes cost and not results."""
+    join_keys, keys = list(join_keys), list(keys)
+    heavy_rows = max(1, int(hot_group_rows**0.5) // 2)
+    fraction = min(1.0, HEAVY_SAMPLE_ROWS / heavy_rows)
+    heavy = find_hot_groups(left, join_keys, heavy_rows, fraction, seed).unionByName(
+        find_hot_groups(right, join_keys, heavy_rows, fraction, seed + 1)
+    )
+    # Four plans read it; it holds at most a key per heavy_rows / 2 rows or so.
+    checkpoint_dir(left.sparkSession)
+    heavy = heavy.distinct().checkpoint()
+    share = min(1.0, HOT_SAMPLE_ROWS / hot_group_rows)
+    hashed = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in join_keys]), F.lit(_HASH_RANGE))
+    chosen = hashed < int(share * _HASH_RANGE)
+
+    def products(pick) -> DataFrame:
+        counts = [pick(df.select(*join_keys)).groupBy(*join_keys).agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "_l"), (right, "_r"))]
+        return counts[0].join(counts[1], join_keys, how).select(*keys, (F.col("_l") * F.coalesce("_r", F.lit(1))).alias("_n"))
+
+    exact = products(lambda df: df.join(heavy, join_keys, "left_semi"))
+    others = products(lambda df: df.where(chosen).join(heavy, join_keys, "left_anti")).select(*keys, (F.col("_n") / share).alias("_n"))
+    sizes = exact.withColumn("_n", F.col("_n").cast("double")).unionByName(others).groupBy(*keys).agg(F.sum("_n").alias("_n"))
+    return sizes.where(F.col("_n") >= hot_group_rows).select(*keys)
+
+
 def _split_hot_lags(hot: DataFrame, keys, order, lags, x, y, frame) -> DataFrame:
     depth = max(lags)
     # Range partitioning on the full ordering cuts each hot group into

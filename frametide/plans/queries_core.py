@@ -16,7 +16,7 @@ from frametide.functions.geometry import ball_relative, direction_sin_cos
 from frametide.functions.numeric import numeric
 from frametide.operators import features as feat
 from frametide.operators import joins
-from frametide.operators.lags import find_hot_groups, time_lag_features
+from frametide.operators.lags import find_hot_joined_groups, time_lag_features
 from frametide.plans import sqltext as q
 from frametide.plans.fixtures import frames_events, frames_lineitem, labels_events, with_views
 from frametide.plans.registry import r6, register
@@ -24,7 +24,7 @@ from frametide.plans.registry import r6, register
 # Player series above this many rows take the split lag path; hot series are
 # found from a key-only sample of the scanned frames.
 HOT_GROUP_ROWS = 2_000_000
-from frametide.schemas import FEATURE_COLUMNS, PLAYER_KEYS
+from frametide.schemas import FEATURE_COLUMNS, FRAME_KEYS, PLAYER_KEYS
 
 
 # =============================================================== flagship
@@ -197,7 +197,8 @@ def category_code_vocab_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vocabulary fitted on the training join (first-seen order) is
     applied to all frames; values never seen in training get -1."""
     frames = frames_events(spark, sf_dir)
-    train = joins.join_inputs_outputs(frames, labels_events(spark, sf_dir))
+    labels = labels_events(spark, sf_dir)
+    train = joins.join_inputs_outputs(frames, labels)
     codes = first_seen_codes(train, "player_position", "row_id")
     return category_code_vocab(frames, codes).select("row_id", "player_position", "player_pos_code")
 
@@ -242,11 +243,12 @@ def prepare_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def engineer_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P18 on the training join (J1): lags over the joined rows, then P9."""
     frames = frames_events(spark, sf_dir)
-    train = joins.join_inputs_outputs(frames, labels_events(spark, sf_dir))
+    labels = labels_events(spark, sf_dir)
+    train = joins.join_inputs_outputs(frames, labels)
     # Fan-out copies of one input row tie on (frame, row id); the label
     # values order them so every copy gets a well-defined lag. Oversized
-    # player series are found from a key-only sample of the scanned frames.
-    hot = find_hot_groups(frames, PLAYER_KEYS, HOT_GROUP_ROWS)
+    # player series are found from key counts of both sides of the join.
+    hot = find_hot_joined_groups(frames, labels, FRAME_KEYS, PLAYER_KEYS, HOT_GROUP_ROWS)
     df, _ = feat.engineer_features(train, tiebreak=["row_id", "x_target", "y_target"], hot_keys=hot)
     return df.select("row_id", "x_target", "y_target", "vx_lag_1", "vy_lag_1", "dt_lag_3", *_features_select())
 

@@ -43,7 +43,7 @@ def score_test(
     check_required_column(test, id_col)
     joined = join_test_features(test, test_input, keys)
     if uses_lag_features(bundle.feature_columns):
-        joined = lag_stage(joined, test, [id_col], hot_group_rows)
+        joined = lag_stage(joined, test, test_input, [id_col], hot_group_rows, keys, "left")
     feats = transform_for_inference(joined, bundle.feature_columns, bundle.vocabulary or [], keep=[id_col])
     return M.score(bundle, feats, keep=[id_col]).select(id_col, "x", "y")
 

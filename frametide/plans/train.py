@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from frametide.functions.encoders import category_code_vocab
 from frametide.operators import models as M
 from frametide.operators.features import clean_features, prepare_features, select_features
-from frametide.operators.lags import find_hot_groups, lag_column_names, time_lag_features
+from frametide.operators.lags import find_hot_joined_groups, lag_column_names, time_lag_features
 from frametide.operators.joins import join_inputs_outputs
 from frametide.operators.sampling import (
     PREFIX_DIGITS,
@@ -46,12 +46,18 @@ def uses_lag_features(feature_columns: Sequence[str]) -> bool:
 
 
 def lag_stage(
-    merged: DataFrame, inputs: DataFrame, tiebreak: Sequence[str], hot_group_rows: int | None = HOT_GROUP_ROWS
+    merged: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    tiebreak: Sequence[str],
+    hot_group_rows: int | None = HOT_GROUP_ROWS,
+    keys: Sequence[str] = FRAME_KEYS,
+    how: str = "inner",
 ) -> DataFrame:
-    """W5 over joined rows. Hot player series are found from a key-only
-    sample of the *inputs* (a cheap scan, not a second run of the join) and
-    lagged on the split path."""
-    hot = find_hot_groups(inputs, PLAYER_KEYS, hot_group_rows) if hot_group_rows else None
+    """W5 over the joined rows of ``left`` and ``right``. Player series that
+    are hot after the join's fan-out are found from key counts of both sides
+    (key-only scans, not a second run of the join) and lagged on the split path."""
+    hot = find_hot_joined_groups(left, right, keys, PLAYER_KEYS, hot_group_rows, how) if hot_group_rows else None
     return time_lag_features(merged, tiebreak=list(tiebreak), hot_keys=hot)
 
 
@@ -75,7 +81,7 @@ def build_training_rows(
     has been fitted on these rows."""
     merged = join_inputs_outputs(inputs, outputs)
     if uses_lag_features(feature_columns):
-        merged = lag_stage(merged, inputs, [*tiebreak, "x_target", "y_target"], hot_group_rows)
+        merged = lag_stage(merged, inputs, outputs, [*tiebreak, "x_target", "y_target"], hot_group_rows)
     keep = [*FRAME_KEYS, *tiebreak, "x_target", "y_target"]
     if encode:
         feats, _ = prepare_features(merged, vocabulary=vocabulary)

@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from frametide.operators.lags import lag_column_names, time_lag_features
-from frametide.schemas import PLAYER_KEYS
+from frametide.operators.joins import join_inputs_outputs
+from frametide.operators.lags import find_hot_groups, find_hot_joined_groups, lag_column_names, time_lag_features
+from frametide.schemas import FRAME_KEYS, PLAYER_KEYS
 
 
 def brute_force(pdf: pd.DataFrame, lags=(1, 2, 3)) -> pd.DataFrame:
@@ -66,6 +67,34 @@ def test_hot_group_split_is_exact(spark):
     assert split.count() == len(pdf)
 
 
+def _fan_out(spark):
+    """Series 1: one frame of 60 inputs and 150 labels; series 2: 900 frames of
+    3 and 4; series 3: 300 rows that stay alone; series 4: no label."""
+    left = [(1, 0)] * 60 + [(2, f) for f in range(900) for _ in range(3)] + [(3, f) for f in range(300)] + [(4, f) for f in range(9000)]
+    right = [(1, 0)] * 150 + [(2, f) for f in range(900) for _ in range(4)] + [(3, f) for f in range(300)]
+    schema = "game_id string, play_id bigint, nfl_id bigint, frame_id bigint, row_id bigint, x double, y double"
+
+    def frame(rows, first):
+        return spark.createDataFrame([("g", 1, p, f, first + i, (i * 37 % 101) / 4, (i * 53 % 97) / 4) for i, (p, f) in enumerate(rows)], schema)
+
+    return frame(left, 0), frame(right, 10**6).drop("row_id")
+
+
+def test_series_hot_only_after_the_join_are_found(spark):
+    left, right = _fan_out(spark)
+    found = lambda how: {r["nfl_id"] for r in find_hot_joined_groups(left, right, FRAME_KEYS, PLAYER_KEYS, 5000, how).collect()}
+    assert found("inner") == {1, 2}
+    assert found("left") == {1, 2, 4}
+    assert {r["nfl_id"] for r in find_hot_groups(left.where("nfl_id < 4"), PLAYER_KEYS, 5000).collect()} == set()
+
+
+def test_lags_of_series_hot_only_after_the_join_are_exact(spark):
+    left, right = _fan_out(spark)
+    merged = join_inputs_outputs(left, right).withColumn("row_id", F.xxhash64("row_id", "x_target", "y_target")).dropDuplicates(["row_id"]).checkpoint()
+    hot = find_hot_joined_groups(left, right, FRAME_KEYS, PLAYER_KEYS, 5000)
+    _compare(time_lag_features(merged, tiebreak="row_id", hot_keys=hot), brute_force(merged.toPandas()))
+
+
 def test_single_row_group(spark):
     # Shifts stay null, deltas / dt / velocities are 0
     df = spark.createDataFrame([("g", 1, 7, 3, 0, 1.0, 2.0)], "game_id string, play_id int, nfl_id int, frame_id int, row_id int, x double, y double")
