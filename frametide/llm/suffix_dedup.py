@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frametide.llm.common import PASS_BYTES, flat_text, mixed, passes, random_table, typed
+from frametide.llm.common import PASS_BYTES, flat_text, mixed, passes, random_table, release, typed
 from frametide.llm.induced_sort import common_prefixes, suffix_array
 
 WINDOW = 100
@@ -157,6 +157,15 @@ def _repeats(h, p, doc, first):
     return (doc > doc[at]) | ((doc == doc[at]) & (first > first[at])), lead
 
 
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of anchor hashes. Anchors are minima, so half of them lie in the
+    lowest hundredth of the hash range: they are hashed again before they are dealt."""
+    return (((mixed(h ^ _DEALT) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+_DEALT = np.uint64(0xA0761D6478BD642F)
+
+
 def _deal(buckets: int):
     """Pieces of a batch as packed arrays per bucket of the anchor hash. What
     repeats a piece of the batch is dealt by document, so that a piece that a
@@ -172,7 +181,7 @@ def _deal(buckets: int):
             order = np.lexsort((first, owner, p, h))
             repeat = np.zeros(len(h), bool)
             repeat[order], _ = _repeats(h[order], p[order], owner[order], first[order])
-            bucket = (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            bucket = bucket_of(h, buckets)
             bucket[repeat] = buckets + mixed(doc[repeat].view(np.uint64)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
@@ -406,13 +415,17 @@ def repeated(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "row", "text").where("doc_id is not null")
     dealt = named.mapInArrow(_deal(2 * buckets), _PACKED).repartition(buckets, "bucket")
     found = dealt.groupBy("bucket").applyInArrow(_meet, _FOUND).checkpoint()
+    del dealt
+    release(spark)
     need = found.where("sort").groupBy(key).agg(F.collect_list("h").alias("h"), F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     count = found.where("sort").agg(F.coalesce(F.sum(F.length("h")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-count * (WINDOW + GRAM) // SHARD_BYTES))
     packed = "shard int, key binary, doc binary, row binary, first binary, size binary, text binary"
     cut = named.join(need, key).select(*key, "text", "h", "a", "b").mapInArrow(_cut(shards), packed)
-    sorted_ = cut.repartition(min(shards, buckets), "shard").groupBy("shard").applyInArrow(_sort, _FOUND)
-    return found.where("not sort").select(*key, "a", "b").union(sorted_.select(*key, "a", "b"))
+    sorted_ = cut.repartition(min(shards, buckets), "shard").groupBy("shard").applyInArrow(_sort, _FOUND).select(*key, "a", "b").checkpoint()
+    del need, cut
+    release(spark)
+    return found.where("not sort").select(*key, "a", "b").union(sorted_)
 
 
 def removed_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

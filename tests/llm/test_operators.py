@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -161,6 +162,14 @@ def test_suffix_dedup_matches_brute_force(docs):
     assert want == {g for g in got if g[0] is not None}
 
 
+def test_anchor_buckets_are_even():
+    raw = np.random.default_rng(5).integers(97, 123, 1 << 19).astype(np.uint8)
+    batch = pa.record_batch([pa.array([1]), pa.array([0]), pa.array([raw.tobytes().decode()])], ["doc_id", "row", "text"])
+    (dealt,) = suffix_dedup._deal(100)([batch])
+    sizes = [len(x.as_py()) for x in dealt.column("h")]
+    assert len(sizes) > 90 and max(sizes) < 3 * sum(sizes) / 100
+
+
 def test_names_are_sorted_recursively_at_any_count(monkeypatch):
     rng = np.random.default_rng(5)
     half = rng.integers(1, 300, 9000)
