@@ -46,6 +46,9 @@ LARGE = 16
 KEY_BYTES = 5
 #: Keys in a bucket, roughly (14 bytes each with id and slot); a task takes two buckets.
 BUCKET_KEYS = 1_000_000
+#: Slices of the buckets that are dealt one after the other, each met before the next, so that no
+#: more than a slice of the keys lies on disk. Texts are hashed again for each.
+SLICES = 2
 #: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
 BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once (some forty bytes of arrays each); a longer text is a pass of its own.
@@ -230,9 +233,10 @@ def _long(packed: np.ndarray) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def _deal(buckets: int, shingle: int, percent: int):
+def _deal(buckets: int, shingle: int, percent: int, low: int = 0, high: int | None = None):
     """Keys, set ids and slots of a batch as one row of packed arrays per
-    bucket: a million keys cost a few hundred rows. Equal sets of a batch count once."""
+    bucket (of those from ``low`` to below ``high``): a million keys cost a few
+    hundred rows. Equal sets of a batch count once."""
 
     def run(batches):
         for batch in batches:
@@ -246,10 +250,11 @@ def _deal(buckets: int, shingle: int, percent: int):
                     ids.append(np.full(len(k), i, np.int64))
             if not sum(map(len, keys)):
                 continue
-            k = np.concatenate(keys)
-            order = np.argsort(k)
-            k, i, slot = k[order], np.concatenate(ids)[order], np.concatenate(slots)[order]
+            k, i, slot = np.concatenate(keys), np.concatenate(ids), np.concatenate(slots)
             bucket = ((k >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            dealt = np.flatnonzero((bucket >= low) & (bucket < (buckets if high is None else high)))
+            order = dealt[np.argsort(k[dealt])]
+            k, i, slot, bucket = k[order], i[order], slot[order], bucket[order]
             at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
             to = np.append(at[1:], len(k))
             short = pa.array([_short(k[a:b], int(bucket[a]), buckets) for a, b in zip(at, to, strict=True)], pa.binary())
@@ -300,10 +305,14 @@ def key_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     sides: m - 1 others that they share are larger. So very common pieces,
     which many unrelated sets share, bring no pairs, and no link is lost."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), keys // (2 * BUCKET_KEYS))
-    dealt = docs.select("text").mapInArrow(_deal(2 * parts, shingle, percent), "bucket int, keys binary, ids binary, slots binary").repartition(parts, "bucket")
-    met = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, sized bigint").checkpoint()
-    del dealt
-    release(docs.sparkSession)
+    edges = [2 * parts * i // SLICES for i in range(SLICES + 1)]
+    met = None
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        dealt = docs.select("text").mapInArrow(_deal(2 * parts, shingle, percent, low, high), "bucket int, keys binary, ids binary, slots binary").repartition(-(-parts // SLICES), "bucket")
+        part = dealt.groupBy("bucket").applyInArrow(_meet, "g bigint, id bigint, sized bigint").checkpoint()
+        met = part if met is None else met.union(part)
+        del dealt, part
+        release(docs.sparkSession)
     large = F.col("sized") >= 256 * LARGE
     slot = F.pmod("sized", F.lit(256))
     place = F.row_number().over(Window.partitionBy("id", slot).orderBy(F.shiftright("sized", 8).desc(), "g"))

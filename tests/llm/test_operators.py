@@ -91,6 +91,16 @@ def test_keep_one_leaves_a_row_of_every_class(spark):
     assert sorted((r["doc_id"], r["text"] or "") for r in got.collect()) == [(3, BASE), (10, other), (13, ""), (14, "")]
 
 
+def test_slices_deal_every_key_once():
+    texts = [" ".join(f"w{i}x{j}" for j in range(60 + i)) for i in range(40)]
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+    rows = lambda *a: [tuple(r.values()) for b in parity_join._deal(8, 4, 85, *a)([batch]) for r in b.to_pylist()]
+    whole = rows()
+    assert len(whole) == 8
+    assert rows(0, 3) + rows(3, 8) == whole
+    assert all(r[0] < 3 for r in rows(0, 3))
+
+
 def test_sketch_keys_lose_no_link():
     rng = np.random.default_rng(3)
     for n in (6, 9, 14, 40, 300):
