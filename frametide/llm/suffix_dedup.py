@@ -158,7 +158,7 @@ def _repeats(h, p, doc, first):
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets of anchor hashes. Anchors are minima, so half of them lie in the
+    """Buckets of anchor hashes. Anchors are minima, so a third of them lie in the
     lowest hundredth of the hash range: they are hashed again before they are dealt."""
     return (((mixed(h ^ _DEALT) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
