@@ -49,6 +49,11 @@ BUCKET_KEYS = 1_000_000
 #: Slices of the buckets that are dealt one after the other, each met before the next, so that no
 #: more than a slice of the keys lies on disk. Texts are hashed again for each.
 SLICES = 2
+#: Shingles of the pairs verified at once, as a share of those of all sets; each slice of the pairs
+#: reads the texts again and is released before the next, so its shuffle doesn't grow with the pairs.
+PAIR_SHARE = 0.25
+#: Shingles that a slice of pairs may have anyway (8 bytes each).
+SLICE_SHINGLES = 1 << 22
 #: Rows of ids that a join may broadcast instead of shuffling texts (16 bytes each).
 BROADCAST_ROWS = 400_000
 #: Bytes of text hashed at once (some forty bytes of arrays each); a longer text is a pass of its own.
@@ -362,16 +367,30 @@ def _within_bound(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of set ids that are linked, by sketch bound and exact
-    intersection. Only one document per set involved is shingled again."""
+    intersection. Only one document per set involved is shingled again. The
+    pairs are dealt in slices by their shingles, so that at most about
+    ``PAIR_SHARE`` of all sets' shingles lies on disk at once, however many
+    pairs there are."""
+    spark = docs.sparkSession
     near = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_within_bound(percent))
-    near = near.select("a", "b", "da", "db").checkpoint()
-    want = near.select(F.col("a").alias("want"), "da.*").union(near.select("b", "db.*")).distinct()
-    want = if_small(want.select("want", F.col("doc_id").alias("want_doc"), F.col("text_id").alias("want_text")))
-    row = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_text"))
-    packed = docs.select("doc_id", "text").join(want, row).select("want", "text").mapInArrow(_pack(shingle), "id bigint, packed binary")
-    packed = packed.groupBy("id").agg(F.first("packed").alias("packed")) if _repeats(docs) else packed
-    both = near.select("a", "b").join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a bigint, b bigint")
+    near = near.select("a", "b", "da", "db", (F.col("na") + F.col("nb")).alias("both")).checkpoint()
+    release(spark)
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    slices = max(1, math.ceil((near.agg(F.sum("both")).first()[0] or 0) / max(SLICE_SHINGLES, PAIR_SHARE * total)))
+    repeats, out = _repeats(docs), None
+    for i in range(slices):
+        dealt = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == i)
+        want = dealt.select(F.col("a").alias("want"), "da.*").union(dealt.select("b", "db.*")).distinct()
+        want = if_small(want.select("want", F.col("doc_id").alias("want_doc"), F.col("text_id").alias("want_text")))
+        row = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_text"))
+        packed = docs.select("doc_id", "text").join(want, row).select("want", "text").mapInArrow(_pack(shingle), "id bigint, packed binary")
+        packed = packed.groupBy("id").agg(F.first("packed").alias("packed")) if repeats else packed
+        both = dealt.select("a", "b").join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
+        linked = both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a bigint, b bigint").checkpoint()
+        out = linked if out is None else out.union(linked)
+        del dealt, want, row, packed, both, linked
+        release(spark)
+    return out
 
 
 def if_small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

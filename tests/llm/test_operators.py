@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from frametide.llm import chat_format, decontamination, induced_sort, language_id, mixing, parity_join, pii, quality_crf, quality_rules, secrets, suffix_dedup
@@ -101,6 +102,24 @@ def test_slices_deal_every_key_once():
     assert all(r[0] < 3 for r in rows(0, 3))
 
 
+def test_pairs_are_verified_in_slices(spark, monkeypatch):
+    start(spark)
+    texts = {10 * g + v: " ".join(f"g{g}w{i}" for i in range(100 - 2 * v)) for g in range(2) for v in range(4)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = parity_join.digests(docs)
+    sets = rows.groupBy("set_id", "n_shingles", *[f"k{i}" for i in range(parity_join.SKETCH_WORDS)]).agg(F.min(F.struct("doc_id", "text_id")).alias("row")).checkpoint()
+    ids = {r["doc_id"]: r["set_id"] for r in rows.collect()}
+    pairs = [(ids[i], ids[j]) for i in texts for j in texts if i < j]
+    wanted, if_small = [], parity_join.if_small
+    monkeypatch.setattr(parity_join, "SLICE_SHINGLES", 1, raising=False)
+    monkeypatch.setattr(parity_join, "if_small", lambda want: wanted.append(want.count()) or if_small(want))
+    got = parity_join.verified(spark.createDataFrame(pairs, "a bigint, b bigint"), sets, docs)
+    # The 12 pairs within the groups have three times the shingles of the 8 sets.
+    assert sorted(map(tuple, got.collect())) == sorted((ids[i], ids[j]) for i in texts for j in texts if i < j and i // 10 == j // 10)
+    assert len(wanted) >= 3 / parity_join.PAIR_SHARE
+    assert max(wanted) < len(texts)
+
+
 def test_sketch_keys_lose_no_link():
     rng = np.random.default_rng(3)
     for n in (6, 9, 14, 40, 300):
